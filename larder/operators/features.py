@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder import config
 from larder.functions.quantities import QUANTITY, guarded_ratio
-from larder.operators.gold import attach_sku, day_literal
 
 KEYS = list(config.KEYS)
 
@@ -38,30 +37,6 @@ def stock_features(positions: DataFrame, velocity: DataFrame) -> DataFrame:
     )
 
 
-def last_sale(
-    movements: DataFrame, reference_date: dt.date | Column, registry: DataFrame | None = None
-) -> DataFrame:
-    """Day of the last sale and the days since, per site and SKU."""
-    item = "unified_sku_id" if registry is None else "MATNR"
-    merged = (
-        movements.filter(F.col("BWART") == config.SALE)
-        .groupBy("WERKS", item)
-        .agg(F.max("BUDAT").alias("last_sale_date"))
-    )
-    if registry is not None:
-        merged = (
-            attach_sku(merged, registry)
-            .groupBy("WERKS", "unified_sku_id")
-            .agg(F.max("last_sale_date").alias("last_sale_date"))
-        )
-    return merged.select(
-        F.col("WERKS").alias("werks"),
-        "unified_sku_id",
-        "last_sale_date",
-        F.datediff(day_literal(reference_date), "last_sale_date").alias("days_since_last_sale"),
-    )
-
-
 def shelf_life_by_sku(registry: DataFrame) -> DataFrame:
     """One shelf life per SKU; materials that share a barcode would otherwise fan out joins."""
     return registry.groupBy("unified_sku_id").agg(

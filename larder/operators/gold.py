@@ -66,66 +66,116 @@ def position_history(movements: DataFrame, registry: DataFrame | None = None) ->
     )
 
 
-def daily_positions(movements: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """Last row of the position history, one per site and SKU.
+def movement_rollup(
+    movements: DataFrame, reference_date: dt.date | Column, registry: DataFrame | None = None
+) -> DataFrame:
+    """Stock, sales windows and last sale per site, SKU and unit, in one pass.
 
-    The last running sum is the plain sum, so no ordering of days is needed.
+    Positions, velocity and last sale are all cut from this table, so writing it once means
+    reading the movements once. The sales windows end at the reference date and have no
+    upper bound; pass movements up to the date for a past day.
     """
     item = _item_column(registry)
-    per_unit = movements.groupBy("WERKS", item, "MEINS").agg(
-        F.sum(signed_quantity()).alias("net"), F.max("BUDAT").alias("last_day")
+    ref = day_literal(reference_date)
+    is_sale = F.col("BWART").isin(config.SALE, config.SALE_RETURN)
+    windows = {f"sales_{n}d": n for n in config.SALES_WINDOWS}
+    rollup = movements.groupBy("WERKS", item, "MEINS").agg(
+        F.sum(signed_quantity()).alias("net"),
+        F.max("BUDAT").alias("last_day"),
+        *[
+            F.sum(F.when(F.col("BUDAT") >= F.date_sub(ref, n), sale_quantity())).alias(c)
+            for c, n in windows.items()
+        ],
+        F.count_if(is_sale).alias("n_sales"),
+        F.max(F.when(F.col("BWART") == config.SALE, F.col("BUDAT"))).alias("last_sale_date"),
     )
+    if registry is not None:
+        rollup = (
+            attach_sku(rollup, registry)
+            .groupBy("WERKS", "unified_sku_id", "MEINS")
+            .agg(
+                F.sum("net").alias("net"),
+                F.max("last_day").alias("last_day"),
+                *[F.sum(c).alias(c) for c in windows],
+                F.sum("n_sales").alias("n_sales"),
+                F.max("last_sale_date").alias("last_sale_date"),
+            )
+        )
+    return rollup.select(
+        F.col("WERKS").alias("werks"),
+        "unified_sku_id",
+        F.col("MEINS").alias("uom"),
+        F.col("net").cast(QUANTITY).alias("net"),
+        "last_day",
+        *[F.coalesce(F.col(c), F.lit(0)).cast(QUANTITY).alias(c) for c in windows],
+        "n_sales",
+        "last_sale_date",
+    )
+
+
+def positions_of(rollup: DataFrame) -> DataFrame:
+    """Present stock per site and SKU, dated and measured like its last movement."""
     return (
-        attach_sku(per_unit, registry)
-        .groupBy("WERKS", "unified_sku_id")
+        rollup.groupBy("werks", "unified_sku_id")
         .agg(
             F.sum("net").cast(QUANTITY).alias("stock_qty"),
-            F.max(F.struct("last_day", "MEINS")).alias("_last"),
+            F.max(F.struct("last_day", "uom")).alias("_last"),
         )
         .select(
-            F.col("WERKS").alias("werks"),
+            "werks",
             "unified_sku_id",
             F.col("_last.last_day").alias("snapshot_date"),
             "stock_qty",
-            F.col("_last.MEINS").alias("uom"),
+            F.col("_last.uom").alias("uom"),
+        )
+    )
+
+
+def velocity_of(rollup: DataFrame) -> DataFrame:
+    """Sales windows of every site, SKU and unit that ever sold or took back."""
+    return rollup.filter(F.col("n_sales") > 0).select(
+        "werks", "unified_sku_id", *[f"sales_{n}d" for n in config.SALES_WINDOWS], "uom"
+    )
+
+
+def last_sale_of(rollup: DataFrame, reference_date: dt.date | Column) -> DataFrame:
+    """Day of the last sale and the days since, per site and SKU."""
+    return (
+        rollup.filter(F.col("last_sale_date").isNotNull())
+        .groupBy("werks", "unified_sku_id")
+        .agg(F.max("last_sale_date").alias("last_sale_date"))
+        .withColumn(
+            "days_since_last_sale", F.datediff(day_literal(reference_date), "last_sale_date")
         )
     )
 
 
+def daily_positions(movements: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Last row of the position history, one per site and SKU.
+
+    The last running sum is the plain sum, so no ordering of days is needed.
+    """
+    return positions_of(movement_rollup(movements, dt.date.max, registry))
+
+
+def _only(movements: DataFrame, *codes: str) -> DataFrame:
+    return movements.filter(F.col("BWART").isin(*codes))
+
+
 def sales_velocity(
     movements: DataFrame, reference_date: dt.date | Column, registry: DataFrame | None = None
 ) -> DataFrame:
-    """Net sales over four windows that end at the reference date, in one pass.
+    """Net sales over four windows; only sales and returns leave the scan."""
+    sales = _only(movements, config.SALE, config.SALE_RETURN)
+    return velocity_of(movement_rollup(sales, reference_date, registry))
 
-    The windows have no upper bound; pass movements up to the date for a past day.
-    """
-    item = _item_column(registry)
-    ref = day_literal(reference_date)
-    columns = [f"sales_{n}d" for n in config.SALES_WINDOWS]
-    sales = movements.filter(F.col("BWART").isin(config.SALE, config.SALE_RETURN))
-    per_item = sales.groupBy("WERKS", item, "MEINS").agg(
-        *[
-            F.sum(
-                F.when(F.col("BUDAT") >= F.date_sub(ref, n), sale_quantity()).otherwise(
-                    F.lit(0).cast(QUANTITY)
-                )
-            ).alias(f"sales_{n}d")
-            for n in config.SALES_WINDOWS
-        ]
-    )
-    merged = per_item
-    if registry is not None:
-        merged = (
-            attach_sku(per_item, registry)
-            .groupBy("WERKS", "unified_sku_id", "MEINS")
-            .agg(*[F.sum(c).alias(c) for c in columns])
-        )
-    return merged.select(
-        F.col("WERKS").alias("werks"),
-        "unified_sku_id",
-        *[F.col(c).cast(QUANTITY).alias(c) for c in columns],
-        F.col("MEINS").alias("uom"),
-    )
+
+def last_sale(
+    movements: DataFrame, reference_date: dt.date | Column, registry: DataFrame | None = None
+) -> DataFrame:
+    """Day of the last sale and the days since; only sales leave the scan."""
+    sales = _only(movements, config.SALE)
+    return last_sale_of(movement_rollup(sales, reference_date, registry), reference_date)
 
 
 def open_orders(

@@ -436,7 +436,7 @@ _POSITION_COLUMNS = "werks, unified_sku_id, snapshot_date, stock_qty::DOUBLE AS
 
 @query("daily_positions", f"SELECT {_POSITION_COLUMNS} FROM positions")
 def _(s: Star) -> DataFrame:
-    return plain(s.positions)
+    return plain(gold.daily_positions(s.movements, s.registry))
 
 
 @query(
@@ -453,7 +453,7 @@ def _(s: Star) -> DataFrame:
 
 @query("sales_velocity", f"SELECT {_VELOCITY_COLUMNS} FROM velocity")
 def _(s: Star) -> DataFrame:
-    return plain(s.velocity)
+    return plain(gold.sales_velocity(s.movements, s.reference_date, s.registry))
 
 
 @query(
@@ -484,7 +484,7 @@ def _(s: Star) -> DataFrame:
 
 @query("last_sale", "SELECT * FROM last_sales")
 def _(s: Star) -> DataFrame:
-    return s.last_sales
+    return gold.last_sale(s.movements, s.reference_date, s.registry)
 
 
 @query("collapse_signals", "SELECT * FROM collapse")

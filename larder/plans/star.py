@@ -221,13 +221,20 @@ class Star:
 
     # ---- gold and features ---------------------------------------------------------
 
+    @cached_property
+    def rollup(self) -> DataFrame:
+        """Movement rollup as a table: every feature and label is cut from it."""
+        return self.stored(
+            gold.movement_rollup(self.movements, self.reference_date, self.registry), "rollup"
+        )
+
     @cached_property
     def positions(self) -> DataFrame:
-        return gold.daily_positions(self.movements, self.registry)
+        return gold.positions_of(self.rollup)
 
     @cached_property
     def velocity(self) -> DataFrame:
-        return gold.sales_velocity(self.movements, self.reference_date, self.registry)
+        return gold.velocity_of(self.rollup)
 
     @cached_property
     def stock_features(self) -> DataFrame:
@@ -235,7 +242,7 @@ class Star:
 
     @cached_property
     def last_sales(self) -> DataFrame:
-        return feature_ops.last_sale(self.movements, self.reference_date, self.registry)
+        return gold.last_sale_of(self.rollup, self.reference_date)
 
     @cached_property
     def collapse(self) -> DataFrame:
@@ -280,9 +287,9 @@ class Star:
 
     @cached_property
     def series_stock(self) -> DataFrame:
-        positions = gold.daily_positions(self.movements, self.brands)
-        velocity = gold.sales_velocity(self.movements, self.reference_date, self.brands)
-        return feature_ops.stock_features(positions, velocity)
+        rollup = gold.movement_rollup(self.movements, self.reference_date, self.brands)
+        rollup = self.stored(rollup, "brand-rollup")
+        return feature_ops.stock_features(gold.positions_of(rollup), gold.velocity_of(rollup))
 
     @cached_property
     def given_forecasts(self) -> DataFrame:
@@ -451,9 +458,14 @@ class Star:
     def recommendations(self) -> DataFrame:
         return ordering.order_recommendations(self.solver_output, self.quantiles)
 
+    @cached_property
+    def stored_recommendations(self) -> DataFrame:
+        """The recommendations as the table orders, review and finalisation read."""
+        return self.stored(self.recommendations, "recommendations")
+
     @cached_property
     def candidates(self) -> DataFrame:
-        return ordering.po_candidates(self.recommendations)
+        return ordering.po_candidates(self.stored_recommendations)
 
     def responses(self, rows: DataFrame) -> DataFrame:
         """A response per order: numbers under three names, and errors for small costs."""
@@ -486,7 +498,7 @@ class Star:
 
     @cached_property
     def pending(self) -> DataFrame:
-        return sweep.pending_with_p50(self.recommendations, self.quantiles)
+        return sweep.pending_with_p50(self.stored_recommendations, self.quantiles)
 
     def queue(self, minutes_left: int) -> DataFrame:
         explanation = F.to_json(
