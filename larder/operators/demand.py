@@ -214,26 +214,32 @@ def _as_doubles(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def m1_train(
-    training: DataFrame, trees: config.TreeSettings = config.DEMAND_TREES
+    training: DataFrame,
+    trees: config.TreeSettings = config.DEMAND_TREES,
+    horizons: Sequence[int] = config.HORIZONS,
 ) -> dict[int, PipelineModel]:
     """One boosted-tree regressor per horizon."""
     rows = _as_doubles(training, config.DEMAND_FEATURES)
     if rows.isEmpty():
         raise NoRowsError("no series is long enough to train on")
     return {
-        h: _regressor(config.DEMAND_FEATURES, f"demand_{h}d", f"_raw_{h}d", trees).fit(rows)
-        for h in config.HORIZONS
+        h: _regressor(config.DEMAND_FEATURES, f"demand_{h}d", f"raw_{h}d", trees).fit(rows)
+        for h in horizons
     }
 
 
-def m1_score(models: dict[int, PipelineModel], features: DataFrame) -> DataFrame:
-    """Forecast per horizon, never below zero."""
+def m1_predict(models: dict[int, PipelineModel], features: DataFrame) -> DataFrame:
+    """Adds the plain prediction of every horizon as ``raw_<n>d``."""
     rows = _as_doubles(features, config.DEMAND_FEATURES)
+    helpers = [f"{c}_filled" for c in config.DEMAND_FEATURES]
     for horizon, model in models.items():
-        rows = model.transform(rows).drop(
-            f"_raw_{horizon}d_inputs", *[f"{c}_filled" for c in config.DEMAND_FEATURES]
-        )
-    return clip_forecasts(rows.select(*KEYS, *[f"_raw_{h}d" for h in models]), "_raw_{}d")
+        rows = model.transform(rows).drop(f"raw_{horizon}d_inputs", *helpers)
+    return rows
+
+
+def m1_score(models: dict[int, PipelineModel], features: DataFrame) -> DataFrame:
+    """Forecast per horizon, never below zero."""
+    return clip_forecasts(m1_predict(models, features))
 
 
 def clip_forecasts(raw: DataFrame, pattern: str = "raw_{}d") -> DataFrame:

@@ -139,7 +139,7 @@ def training_set(
     return labelled.join(features, KEYS, "inner")
 
 
-def _model_inputs(features: DataFrame, columns: Sequence[str]) -> DataFrame:
+def model_inputs(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Model columns as doubles, plus a flag per column that may be missing."""
     return features.withColumns({c: F.col(c).cast("double") for c in columns}).withColumns(
         {f"{c}_missing": F.col(c).isNull().cast("double") for c in columns}
@@ -165,7 +165,7 @@ def phantom_train(
             seed=trees.seed,
         ),
     ]
-    return Pipeline(stages=stages).fit(_model_inputs(training, columns))
+    return Pipeline(stages=stages).fit(model_inputs(training, columns))
 
 
 def phantom_score(
@@ -177,7 +177,7 @@ def phantom_score(
     """Probability and band per site and SKU; an empty input is an error."""
     if features.isEmpty():
         raise NoRowsError("no feature rows to score")
-    scored = model.transform(_model_inputs(features, columns)).withColumn(
+    scored = model.transform(model_inputs(features, columns)).withColumn(
         "phantom_score", vector_to_array("probability")[1]
     )
     return phantom_banding(scored.select(*KEYS, "phantom_score", "shelf_life_days"), limits)

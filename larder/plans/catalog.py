@@ -27,6 +27,7 @@ from larder.operators import (
 )
 from larder.plans import oracle
 from larder.plans.star import (
+    BANNER,
     EDI_TIMESTAMP,
     KEYS,
     LOADED_AT,
@@ -347,17 +348,17 @@ def _(s: Star) -> DataFrame:
        FROM materials_clean""",
 )
 def _(s: Star) -> DataFrame:
-    return s.materials
+    return silver.clean_materials(s.raw_materials)
 
 
 @query("clean_inventory", f"SELECT {_MOVEMENT_COLUMNS} FROM inventory_clean")
 def _(s: Star) -> DataFrame:
-    return _movement_text(s.inventory)
+    return _movement_text(silver.clean_inventory(s.raw_movements))
 
 
 @query("clean_open_orders", f"SELECT {_ORDER_COLUMNS} FROM orders_clean")
 def _(s: Star) -> DataFrame:
-    return plain(s.orders)
+    return plain(silver.clean_open_orders(s.raw_open_orders))
 
 
 _REGISTRY_COLUMNS = (
@@ -369,7 +370,7 @@ _REGISTRY_COLUMNS = (
 
 @query("sku_registry", f"SELECT {_REGISTRY_COLUMNS} FROM registry")
 def _(s: Star) -> DataFrame:
-    return plain(s.registry)
+    return plain(silver.sku_registry(s.raw_materials, BANNER))
 
 
 _RATE = "count(*) AS n_rows, count(ean_barcode) AS n_matched, count(ean_barcode)/count(*) AS match_rate"
@@ -498,7 +499,7 @@ def _(s: Star) -> DataFrame:
         days_since_last_sale, shelf_life_days FROM feats""",
 )
 def _(s: Star) -> DataFrame:
-    return rounded(plain(s.features), "velocity_collapse_ratio")
+    return rounded(plain(s.build_features()), "velocity_collapse_ratio")
 
 
 @query(
@@ -543,16 +544,22 @@ def _(s: Star) -> DataFrame:
     return rounded(plain(rows), "velocity_collapse_ratio")
 
 
+def _phantom_rows(s: Star) -> DataFrame:
+    return s.published(
+        "phantom_training", lambda: phantom.training_set(s.labels, s.features, _confident(s))
+    )
+
+
 def _phantom_model(s: Star):
-    rows = s.stored(phantom.training_set(s.labels, s.features, _confident(s)), "training")
-    return phantom.phantom_train(rows, QUERY_TREES), rows
+    return s.model("phantom_model", lambda: phantom.phantom_train(_phantom_rows(s), QUERY_TREES))
 
 
 @query("phantom_train")
 def _(s: Star) -> DataFrame:
     """Fit on the training rows: size, positives and rows on the right side of one half."""
-    model, rows = _phantom_model(s)
-    scored = model.transform(phantom._model_inputs(rows, config.PHANTOM_FEATURES))
+    scored = _phantom_model(s).transform(
+        phantom.model_inputs(_phantom_rows(s), config.PHANTOM_FEATURES)
+    )
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("is_phantom").alias("n_phantom"),
@@ -562,8 +569,7 @@ def _(s: Star) -> DataFrame:
 
 @query("phantom_score")
 def _(s: Star) -> DataFrame:
-    model, _rows = _phantom_model(s)
-    return phantom.phantom_score(model, s.features)
+    return phantom.phantom_score(_phantom_model(s), s.features)
 
 
 _SCORE_COLUMNS = "werks, unified_sku_id, phantom_score, is_phantom, action, shelf_life_days"
@@ -707,7 +713,7 @@ def _(s: Star) -> DataFrame:
 
 @query("daily_demand", "SELECT werks, unified_sku_id, ds, y::DOUBLE AS y FROM series")
 def _(s: Star) -> DataFrame:
-    return plain(s.series)
+    return plain(s.build_series())
 
 
 @query(
@@ -767,27 +773,35 @@ def _(s: Star) -> DataFrame:
     return plain(demand.forward_demand(s.series))
 
 
-def _demand_models(s: Star):
-    rows = demand.m1_training_rows(
-        s.series, _holidays(s), s.series_stock, min_days=config.SCORE_MIN_DAYS
+def _demand_rows(s: Star) -> DataFrame:
+    """Small data holds no series of a year, so the short scoring gate applies to training too."""
+    return s.published(
+        "demand_training",
+        lambda: demand.m1_training_rows(
+            s.series, _holidays(s), s.series_stock, min_days=config.SCORE_MIN_DAYS
+        ),
     )
-    rows = s.stored(rows, "demand")
-    return demand.m1_train(rows, QUERY_TREES), rows
+
+
+def _demand_models(s: Star):
+    return {
+        h: s.model(
+            f"demand_model_{h}d",
+            lambda h=h: demand.m1_train(_demand_rows(s), QUERY_TREES, (h,))[h],
+        )
+        for h in config.HORIZONS
+    }
 
 
 @query("m1_train")
 def _(s: Star) -> DataFrame:
     """Fit per horizon on the training rows."""
-    models, rows = _demand_models(s)
-    fitted = rows
-    for h, model in models.items():
-        fitted = model.transform(fitted).drop(
-            f"_raw_{h}d_inputs", *[f"{c}_filled" for c in config.DEMAND_FEATURES]
-        )
+    rows = _demand_rows(s)
+    fitted = demand.m1_predict(_demand_models(s), rows)
     return fitted.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[
-            F.avg(F.abs(F.col(f"_raw_{h}d") - F.col(f"demand_{h}d"))).alias(f"mae_{h}d")
+            F.avg(F.abs(F.col(f"raw_{h}d") - F.col(f"demand_{h}d"))).alias(f"mae_{h}d")
             for h in config.HORIZONS
         ],
     )
@@ -795,9 +809,8 @@ def _(s: Star) -> DataFrame:
 
 @query("m1_score")
 def _(s: Star) -> DataFrame:
-    models, _rows = _demand_models(s)
     inputs = demand.m1_scoring_rows(s.series, _holidays(s), s.series_stock, s.reference_date)
-    return demand.m1_score(models, inputs)
+    return demand.m1_score(_demand_models(s), inputs)
 
 
 def _future(h: int) -> str:
@@ -878,8 +891,8 @@ def _(s: Star) -> DataFrame:
 @query("weather_lift")
 def _(s: Star) -> DataFrame:
     lifts = demand.actual_lift(s.given_forecasts, s.recent)
-    rows = s.stored(demand.weather_training_rows(lifts, s.weather), "weather")
-    model = demand.weather_train(rows, QUERY_TREES)
+    rows = s.published("weather_training", lambda: demand.weather_training_rows(lifts, s.weather))
+    model = s.model("weather_model", lambda: demand.weather_train(rows, QUERY_TREES))
     return demand.weather_lift(model, demand.weather_summary(s.weather))
 
 
@@ -942,7 +955,9 @@ _QUANTILE_COLUMNS = ["p10", "p50", "p90", "uncertainty_spread"]
        LEFT JOIN (SELECT * FROM residual_q WHERE category='*') o ON true)""",
 )
 def _(s: Star) -> DataFrame:
-    quantiles = s.stored(demand.residual_quantiles(s.residuals, s.master), "residual-quantiles")
+    quantiles = s.published(
+        "residual_quantiles", lambda: demand.residual_quantiles(s.residuals, s.master)
+    )
     return rounded(
         demand.quantile_forecast(s.stored_corrected, s.master, quantiles), *_QUANTILE_COLUMNS
     )
@@ -1044,7 +1059,7 @@ def _(s: Star) -> DataFrame:
        FROM recs""",
 )
 def _(s: Star) -> DataFrame:
-    return ordering.recommendation_metrics(s.recommendations)
+    return ordering.recommendation_metrics(s.stored_recommendations)
 
 
 @query(
@@ -1053,7 +1068,7 @@ def _(s: Star) -> DataFrame:
        approval_status='BLOCKED' AS blocked, '1999-06-30' AS run_date FROM recs WHERE werks='NL02'""",
 )
 def _(s: Star) -> DataFrame:
-    dated = s.recommendations.withColumn("run_date", F.lit(s.reference_date))
+    dated = s.stored_recommendations.withColumn("run_date", F.lit(s.reference_date))
     return ordering.recommendations_by_site(dated, "NL02", s.reference_date)
 
 
@@ -1131,7 +1146,7 @@ def _deviation() -> Column:
        AS quantity_deviation_pct FROM recs""",
 )
 def _(s: Star) -> DataFrame:
-    return s.recommendations.select(*KEYS, _deviation().alias("quantity_deviation_pct"))
+    return s.stored_recommendations.select(*KEYS, _deviation().alias("quantity_deviation_pct"))
 
 
 @query(
@@ -1141,7 +1156,7 @@ def _(s: Star) -> DataFrame:
 )
 def _(s: Star) -> DataFrame:
     rule = sweep.rule_transit(F.col("transit_to_life_ratio"))
-    return s.recommendations.select(*KEYS, F.coalesce(rule, F.lit(sweep.AUTO_APPROVE)).alias("action"))
+    return s.stored_recommendations.select(*KEYS, F.coalesce(rule, F.lit(sweep.AUTO_APPROVE)).alias("action"))
 
 
 @query(
@@ -1151,7 +1166,7 @@ def _(s: Star) -> DataFrame:
 )
 def _(s: Star) -> DataFrame:
     rule = sweep.rule_deviation(_deviation())
-    return s.recommendations.select(*KEYS, F.coalesce(rule, F.lit(sweep.AUTO_APPROVE)).alias("action"))
+    return s.stored_recommendations.select(*KEYS, F.coalesce(rule, F.lit(sweep.AUTO_APPROVE)).alias("action"))
 
 
 _MINUTES = """greatest(floor((epoch_us(date_trunc('day', ts)::TIMESTAMP + INTERVAL '8 hours 15 minutes')-epoch_us(ts))
@@ -1178,7 +1193,7 @@ def _(s: Star) -> DataFrame:
 )
 def _(s: Star) -> DataFrame:
     """Ten minutes and two hours before the deadline."""
-    timed = s.recommendations.withColumn("minutes_left", F.explode(F.array(F.lit(10), F.lit(120))))
+    timed = s.stored_recommendations.withColumn("minutes_left", F.explode(F.array(F.lit(10), F.lit(120))))
     action = sweep.rule_chain(F.col("transit_to_life_ratio"), _deviation(), F.col("minutes_left"))
     return timed.select(*KEYS, "minutes_left", action.alias("action"))
 
@@ -1223,7 +1238,7 @@ def _(s: Star) -> DataFrame:
        count(*) FILTER (sweeper_action='AUTO_APPROVE')/greatest(count(*),1) AS no_touch_rate FROM queue""",
 )
 def _(s: Star) -> DataFrame:
-    return sweep.sweep_summary(s.queue(10))
+    return sweep.sweep_summary(s.stored_queue)
 
 
 @query(
@@ -1248,7 +1263,7 @@ def _(s: Star) -> DataFrame:
        (SELECT count(*) FROM edi_rows) AS total_po_lines FROM final_audit""",
 )
 def _(s: Star) -> DataFrame:
-    documents = edi.edi_files(_lines(s), EDI_TIMESTAMP)
+    documents = edi.edi_files(s.edi_lines, EDI_TIMESTAMP)
     return sweep.finalize_metrics(s.final_audit, documents)
 
 
@@ -1271,14 +1286,9 @@ def _(s: Star) -> DataFrame:
 # ---- order documents ------------------------------------------------------------------------------
 
 
-def _lines(s: Star) -> DataFrame:
-    """Numbered lines, handed over through a table: files and segments both read them."""
-    return s.stored(edi.edi_lines(s.consolidated, s.reference_date), "edi-lines")
-
-
 @query("edi_lines", "SELECT * FROM edi_rows")
 def _(s: Star) -> DataFrame:
-    return edi.edi_lines(s.consolidated, s.reference_date)
+    return s.build_edi_lines()
 
 
 oracle.VIEWS["edi_segments"] = """
@@ -1303,13 +1313,13 @@ SELECT vendor_id, edi_file, segment_no, segment FROM (
 
 @query("edi_documents", "SELECT * FROM edi_segments")
 def _(s: Star) -> DataFrame:
-    return edi.edi_documents(_lines(s), SENDER, EDI_TIMESTAMP)
+    return edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP)
 
 
 @query("edi_sink", "SELECT edi_file, segment FROM edi_segments")
 def _(s: Star) -> DataFrame:
     folder = work_dir(s.spark, "edi")
-    edi.edi_sink(edi.edi_documents(_lines(s), SENDER, EDI_TIMESTAMP), folder)
+    edi.edi_sink(edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP), folder)
     return s.spark.read.text(folder).select("edi_file", F.col("value").alias("segment"))
 
 
@@ -1363,7 +1373,7 @@ def _(s: Star) -> DataFrame:
 )
 def _(s: Star) -> DataFrame:
     """Builds the ids and takes them apart again."""
-    ids = s.queue(10).select(review.exception_id().alias("exception_id"))
+    ids = s.stored_queue.select(review.exception_id().alias("exception_id"))
     parts = review.parse_exception_id(F.col("exception_id"))
     return ids.withColumn("_p", parts).select(
         "exception_id", "_p.werks", "_p.unified_sku_id", F.col("_p._loaded_at").alias("loaded_at")
@@ -1383,7 +1393,7 @@ def _(s: Star) -> DataFrame:
     f"SELECT {_QUEUE_COLUMNS}, manager_decision, manager_id, override_reason, override_qty FROM reviewed",
 )
 def _(s: Star) -> DataFrame:
-    return _item_rows(s.reviewed_queue)
+    return _item_rows(s.build_reviewed_queue())
 
 
 @query(
@@ -1396,7 +1406,7 @@ def _(s: Star) -> DataFrame:
          UNION ALL SELECT werks, unified_sku_id, 3, 'promotion', promo_lift-1 FROM queue)""",
 )
 def _(s: Star) -> DataFrame:
-    return review.ranked_contributions(s.queue(10), KEYS)
+    return review.ranked_contributions(s.stored_queue, KEYS)
 
 
 @query(
@@ -1474,7 +1484,7 @@ def _(s: Star) -> DataFrame:
        FROM consolidated GROUP BY werks""",
 )
 def _(s: Star) -> DataFrame:
-    return kpi.automation_rate(s.order_audit.unionByName(s.final_audit))
+    return kpi.automation_rate(s.audit)
 
 
 @query(

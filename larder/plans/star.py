@@ -7,15 +7,17 @@ A site is the region of a supplier, a material is a part, a document line is a l
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import config
 from larder.operators import demand as demand_ops
 from larder.operators import features as feature_ops
-from larder.operators import gold, ordering, phantom, review, silver, sweep
+from larder.operators import edi, gold, ordering, phantom, review, silver, sweep
 from larder.session import work_dir
 from larder.sources.feeds import FEEDS, conform
 
@@ -25,10 +27,38 @@ SENDER = "BUYER_NL"
 EDI_TIMESTAMP = "19990630081000"
 LOADED_AT = "1999-06-30T08:05:00Z"
 KEYS = list(config.KEYS)
+_PUBLISHED: dict[tuple, tuple] = {}
+
+
+# Schemas of the star tables that are used
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A star table; the schema is given, so no job runs to read it from the files."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _padded(value: Column, width: int) -> Column:
@@ -63,15 +93,28 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
-    def stored(self, df: DataFrame, label: str) -> DataFrame:
-        """Hands rows over through a table in the shared folder.
+    def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Hands rows over through a table in the shared folder, written once per session.
 
-        For rows several steps read, and for iterative training: the plan behind them runs
-        once, and a lost executor costs a re-read instead of a rebuild.
+        Layers read each other's tables: a plan several steps need runs once, and a lost
+        executor costs a re-read instead of a rebuild.
         """
-        path = work_dir(self.spark, label)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        key = (self.spark.sparkContext.applicationId, self.folder, self.reference_date, name)
+        if key not in _PUBLISHED:
+            path, df = work_dir(self.spark, name), build()
+            df.write.parquet(path)
+            _PUBLISHED[key] = (path, df.schema)
+        path, schema = _PUBLISHED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def model(self, name: str, train: Callable[[], PipelineModel]) -> PipelineModel:
+        """A trained model, saved in the shared folder once per session."""
+        key = (self.spark.sparkContext.applicationId, self.folder, self.reference_date, name)
+        if key not in _PUBLISHED:
+            path = work_dir(self.spark, name)
+            train().write().save(path)
+            _PUBLISHED[key] = (path, None)
+        return PipelineModel.load(_PUBLISHED[key][0])
 
     # ---- raw feeds ---------------------------------------------------------------
 
@@ -193,11 +236,15 @@ class Star:
 
     @cached_property
     def materials(self) -> DataFrame:
-        return silver.clean_materials(self.raw_materials)
+        return self.published(
+            "materials_clean", lambda: silver.clean_materials(self.raw_materials)
+        )
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return silver.clean_inventory(self.raw_movements)
+        return self.published(
+            "inventory_clean", lambda: silver.clean_inventory(self.raw_movements)
+        )
 
     @cached_property
     def movements(self) -> DataFrame:
@@ -206,11 +253,15 @@ class Star:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return silver.clean_open_orders(self.raw_open_orders)
+        return self.published(
+            "open_orders_clean", lambda: silver.clean_open_orders(self.raw_open_orders)
+        )
 
     @cached_property
     def registry(self) -> DataFrame:
-        return silver.sku_registry(self.raw_materials, BANNER)
+        return self.published(
+            "sku_registry", lambda: silver.sku_registry(self.raw_materials, BANNER)
+        )
 
     @cached_property
     def brands(self) -> DataFrame:
@@ -224,8 +275,9 @@ class Star:
     @cached_property
     def rollup(self) -> DataFrame:
         """Movement rollup as a table: every feature and label is cut from it."""
-        return self.stored(
-            gold.movement_rollup(self.movements, self.reference_date, self.registry), "rollup"
+        return self.published(
+            "movement_rollup",
+            lambda: gold.movement_rollup(self.movements, self.reference_date, self.registry),
         )
 
     @cached_property
@@ -250,6 +302,9 @@ class Star:
 
     @cached_property
     def features(self) -> DataFrame:
+        return self.published("features", self.build_features)
+
+    def build_features(self) -> DataFrame:
         return feature_ops.feature_vector(
             feature_ops.velocity_features(self.velocity), self.stock_features, self.collapse
         )
@@ -283,12 +338,17 @@ class Star:
     @cached_property
     def series(self) -> DataFrame:
         """Daily demand by site and brand."""
+        return self.published("daily_demand", self.build_series)
+
+    def build_series(self) -> DataFrame:
         return demand_ops.daily_demand(self.movements, self.reference_date, self.brands)
 
     @cached_property
     def series_stock(self) -> DataFrame:
-        rollup = gold.movement_rollup(self.movements, self.reference_date, self.brands)
-        rollup = self.stored(rollup, "brand-rollup")
+        rollup = self.published(
+            "brand_rollup",
+            lambda: gold.movement_rollup(self.movements, self.reference_date, self.brands),
+        )
         return feature_ops.stock_features(gold.positions_of(rollup), gold.velocity_of(rollup))
 
     @cached_property
@@ -332,7 +392,7 @@ class Star:
 
     @cached_property
     def stored_corrected(self) -> DataFrame:
-        return self.stored(self.corrected, "corrected")
+        return self.published("m2_corrected", lambda: self.corrected)
 
     @cached_property
     def residuals(self) -> DataFrame:
@@ -395,8 +455,11 @@ class Star:
     @cached_property
     def _site_part_attributes(self) -> DataFrame:
         part = self.table("part").withColumnRenamed("p_partkey", "l_partkey")
-        return self._site_parts.join(part, "l_partkey", "inner").withColumns(
-            {"werks": site("n_regionkey"), "unified_sku_id": sku("l_partkey")}
+        return self.published(
+            "site_parts",
+            lambda: self._site_parts.join(part, "l_partkey", "inner").withColumns(
+                {"werks": site("n_regionkey"), "unified_sku_id": sku("l_partkey")}
+            ),
         )
 
     @cached_property
@@ -461,7 +524,7 @@ class Star:
     @cached_property
     def stored_recommendations(self) -> DataFrame:
         """The recommendations as the table orders, review and finalisation read."""
-        return self.stored(self.recommendations, "recommendations")
+        return self.published("order_recommendations", lambda: self.recommendations)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -516,7 +579,7 @@ class Star:
     @cached_property
     def stored_queue(self) -> DataFrame:
         """The queue ten minutes before the deadline, as the table reviewers work on."""
-        return self.stored(self.queue(10), "queue")
+        return self.published("exception_queue", lambda: self.queue(10))
 
     @cached_property
     def decisions(self) -> DataFrame:
@@ -559,6 +622,9 @@ class Star:
 
     @cached_property
     def reviewed_queue(self) -> DataFrame:
+        return self.published("reviewed_queue", self.build_reviewed_queue)
+
+    def build_reviewed_queue(self) -> DataFrame:
         return review.apply_decisions(self.stored_queue, self.decisions)
 
     @cached_property
@@ -572,11 +638,26 @@ class Star:
         return ordering.po_audit(self.finalized, confirmations)
 
     @cached_property
-    def consolidated(self) -> DataFrame:
-        audit = self.order_audit.unionByName(self.final_audit).withColumn(
-            "_created_on", F.lit(self.reference_date)
+    def audit(self) -> DataFrame:
+        """Audit log of the day: automatic orders, then the final decisions."""
+        return self.published(
+            "po_audit",
+            lambda: self.order_audit.unionByName(self.final_audit).withColumn(
+                "_created_on", F.lit(self.reference_date)
+            ),
         )
-        return sweep.daily_po_consolidation(audit, self.master, self.reference_date)
+
+    @cached_property
+    def consolidated(self) -> DataFrame:
+        return sweep.daily_po_consolidation(self.audit, self.master, self.reference_date)
+
+    @cached_property
+    def edi_lines(self) -> DataFrame:
+        """Numbered order lines as a table: file names and segments both read them."""
+        return self.published("edi_lines", self.build_edi_lines)
+
+    def build_edi_lines(self) -> DataFrame:
+        return edi.edi_lines(self.consolidated, self.reference_date)
 
     # ---- documents -------------------------------------------------------------------
 
