@@ -138,16 +138,18 @@ def edi_documents(
 
 
 def edi_sink(documents: DataFrame, folder: str) -> None:
-    """Writes the documents as text below ``folder``, one sub-folder per file name.
+    """Writes the documents as text below ``folder``, as ``vendor_id=.../edi_file=...``.
 
-    Rows are ranged by file and segment: a large document spans several part files whose
-    names sort in segment order, so their concatenation is the document.
+    The vendor is part of the path because vendors may share a first order number and with
+    it a file name. Rows are ranged by vendor and segment: a large document spans several
+    part files whose names sort in segment order, so their concatenation is the document.
     """
+    order = ["vendor_id", "edi_file", "segment_no"]
     (
-        documents.repartitionByRange("edi_file", "segment_no")
-        .sortWithinPartitions("edi_file", "segment_no")
-        .select("edi_file", F.col("segment").alias("value"))
+        documents.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("vendor_id", "edi_file", F.col("segment").alias("value"))
         .write.mode("overwrite")
-        .partitionBy("edi_file")
+        .partitionBy("vendor_id", "edi_file")
         .text(folder)
     )

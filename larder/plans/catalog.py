@@ -1316,11 +1316,11 @@ def _(s: Star) -> DataFrame:
     return edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP)
 
 
-@query("edi_sink", "SELECT edi_file, segment FROM edi_segments")
+@query("edi_sink", "SELECT vendor_id, edi_file, segment FROM edi_segments")
 def _(s: Star) -> DataFrame:
     folder = work_dir(s.spark, "edi")
     edi.edi_sink(edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP), folder)
-    return s.spark.read.text(folder).select("edi_file", F.col("value").alias("segment"))
+    return s.spark.read.text(folder).select("vendor_id", "edi_file", F.col("value").alias("segment"))
 
 
 # ---- review ------------------------------------------------------------------------------------------

@@ -257,7 +257,7 @@ def finalize(store: Store, decisions: DataFrame | None = None) -> DataFrame:
 def release(
     store: Store, master: DataFrame, day: dt.date, sender_id: str, timestamp: str
 ) -> DataFrame:
-    """Order documents of the day as files, one folder per document; returns the file list."""
+    """Order documents of the day as files, one folder per vendor; returns the file list."""
     consolidated = sweep.daily_po_consolidation(store.read("gold/po_audit"), master, day)
     lines = store.replace("gold/edi_lines", edi.edi_lines(sweep.empty_guard(consolidated), day))
     files = store.replace("gold/edi_files", edi.edi_files(lines, timestamp))

@@ -80,7 +80,7 @@ def main() -> int:
                 print(f"rows {name}: {got.num_rows} {got.slice(0, 2).to_pylist()} {took:.1f}s", flush=True)
                 continue
             start = time.time()
-            want = con.execute(checks[name]).to_arrow_table()
+            want = con.sql(checks[name]).to_arrow_table()
             duck_took = time.time() - start
             problem = compare(got, want)
         except Exception as error:  # report and go on with the next query

@@ -219,7 +219,7 @@ def test_edi_documents_and_files(rows, spark):
         want = document([r for r in ordered if r.vendor_id == vendor], "BUYER", vendor, stamp)
         assert [r.segment for r in got] == want
         assert [r.segment_no for r in got] == list(range(1, len(want) + 1))
-        place = f"{folder}/edi_file={got[0].edi_file}"
+        place = f"{folder}/vendor_id={vendor}/edi_file={got[0].edi_file}"
         parts = sorted(p for p in os.listdir(place) if p.startswith("part-"))
         text = "".join(open(f"{place}/{p}", encoding="utf-8").read() for p in parts)
         assert text.splitlines() == want
