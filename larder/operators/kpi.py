@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import config
+from larder.operators.gold import attach_sku
 
 KEYS = list(config.KEYS)
 
@@ -67,16 +66,21 @@ def days_of_inventory(
     )
 
 
-def week_start(day: str) -> object:
+def week_start(day: str) -> Column:
     """Monday of the week of a day."""
     return F.date_trunc("week", F.col(day)).cast("date")
 
 
-def weekly_actuals(movements: DataFrame, until: dt.date | None = None) -> DataFrame:
+def weekly_actuals(movements: DataFrame, registry: DataFrame | None = None) -> DataFrame:
     """Quantity sold per site, SKU and week (named by its Monday)."""
-    rows = movements.filter(F.col("BWART") == config.SALE)
-    if until is not None:
-        rows = rows.filter(F.col("BUDAT") <= F.lit(until))
-    return rows.groupBy(
-        F.col("WERKS").alias("werks"), "unified_sku_id", week_start("BUDAT").alias("week")
-    ).agg(F.sum("MENGE").cast("double").alias("actual"))
+    item = "unified_sku_id" if registry is None else "MATNR"
+    sold = (
+        movements.filter(F.col("BWART") == config.SALE)
+        .groupBy("WERKS", item, week_start("BUDAT").alias("week"))
+        .agg(F.sum("MENGE").alias("actual"))
+    )
+    return (
+        attach_sku(sold, registry)
+        .groupBy(F.col("WERKS").alias("werks"), "unified_sku_id", "week")
+        .agg(F.sum("actual").cast("double").alias("actual"))
+    )

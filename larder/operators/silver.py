@@ -86,14 +86,8 @@ def lookup_by_sap(registry: DataFrame, sap_material_number: str) -> DataFrame:
     return registry.filter(F.col("sap_material_number") == F.lit(sap_material_number))
 
 
-def enriched_movements(
-    inventory: DataFrame, materials: DataFrame, registry: DataFrame
-) -> DataFrame:
-    """Movements with material and identity columns; movements without a match are kept.
-
-    Both lookups are keyed by material, so they are merged first and the movements are
-    joined once. That is one shuffle at most, and one Spark can split when a material is hot.
-    """
+def material_dimension(materials: DataFrame, registry: DataFrame) -> DataFrame:
+    """What is known of a material from either table, one row per material."""
     described = materials.select(
         "MATNR",
         F.col("MAKTX").alias("material_description"),
@@ -103,7 +97,16 @@ def enriched_movements(
     identified = registry.select(
         F.col("sap_material_number").alias("MATNR"), "unified_sku_id", "match_confidence"
     )
-    return inventory.join(described.join(identified, "MATNR", "full"), "MATNR", "left")
+    return described.join(identified, "MATNR", "full")
+
+
+def enriched_movements(inventory: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Movements with material and identity columns; movements without a match are kept.
+
+    The movements are joined once, so they are shuffled at most once. Pass the dimension as
+    a table: Spark then shuffles both sides for this join alone and can split a hot material.
+    """
+    return inventory.join(dimension, "MATNR", "left")
 
 
 def confidence_filter(df: DataFrame) -> DataFrame:

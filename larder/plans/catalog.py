@@ -403,12 +403,12 @@ LEFT JOIN registry r ON i.MATNR=sap_material_number"""
 
 @query("enriched_movements", _ENRICHED)
 def _(s: Star) -> DataFrame:
-    return _movement_text(silver.enriched_movements(s.inventory, s.materials, s.registry))
+    return _movement_text(silver.enriched_movements(s.inventory, s.dimension))
 
 
 @query("confidence_filter", f"SELECT * FROM ({_ENRICHED}) WHERE match_confidence=1")
 def _(s: Star) -> DataFrame:
-    rows = silver.enriched_movements(s.inventory, s.materials, s.registry)
+    rows = silver.enriched_movements(s.inventory, s.dimension)
     return _movement_text(silver.confidence_filter(rows))
 
 
@@ -1263,8 +1263,7 @@ def _(s: Star) -> DataFrame:
        (SELECT count(*) FROM edi_rows) AS total_po_lines FROM final_audit""",
 )
 def _(s: Star) -> DataFrame:
-    documents = edi.edi_files(s.edi_lines, EDI_TIMESTAMP)
-    return sweep.finalize_metrics(s.final_audit, documents)
+    return sweep.finalize_metrics(s.final_audit, s.edi_files)
 
 
 @query(
@@ -1313,13 +1312,13 @@ SELECT vendor_id, edi_file, segment_no, segment FROM (
 
 @query("edi_documents", "SELECT * FROM edi_segments")
 def _(s: Star) -> DataFrame:
-    return edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP)
+    return edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP, s.edi_files)
 
 
 @query("edi_sink", "SELECT vendor_id, edi_file, segment FROM edi_segments")
 def _(s: Star) -> DataFrame:
     folder = work_dir(s.spark, "edi")
-    edi.edi_sink(edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP), folder)
+    edi.edi_sink(edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP, s.edi_files), folder)
     return s.spark.read.text(folder).select("vendor_id", "edi_file", F.col("value").alias("segment"))
 
 
@@ -1462,11 +1461,7 @@ def _(s: Star) -> DataFrame:
 )
 def _(s: Star) -> DataFrame:
     """Given forecast: half of everything shipped to a site in the week."""
-    identified = s.movements.join(
-        s.registry.select(F.col("sap_material_number").alias("MATNR"), "unified_sku_id"),
-        "MATNR",
-        "left",
-    )
+    actuals = kpi.weekly_actuals(s.movements, s.registry)
     forecasts = (
         s.lines.groupBy("n_regionkey", "l_partkey", kpi.week_start("l_shipdate").alias("week"))
         .agg((F.sum("l_quantity") / 2).alias("forecast"))
@@ -1474,7 +1469,7 @@ def _(s: Star) -> DataFrame:
             site("n_regionkey").alias("werks"), sku("l_partkey").alias("unified_sku_id"), "week", "forecast"
         )
     )
-    return rounded(kpi.weekly_mape(kpi.weekly_actuals(identified), forecasts, s.master), "mape")
+    return rounded(kpi.weekly_mape(actuals, forecasts, s.master), "mape")
 
 
 @query(

@@ -60,10 +60,22 @@ def refine(store: Store, source_banner: str) -> None:
         feed = FEEDS[name]
         return store.read(feed.target).select(*[f.name for f in feed.schema.fields])
 
-    materials = landed("materials")
-    store.replace("silver/materials_clean", silver.clean_materials(materials))
-    store.replace("silver/sku_registry", silver.sku_registry(materials, source_banner))
-    store.replace("silver/inventory_clean", silver.clean_inventory(landed("inventory")))
+    landed_materials = landed("materials")
+    materials = store.replace(
+        "silver/materials_clean", silver.clean_materials(landed_materials)
+    )
+    registry = store.replace(
+        "silver/sku_registry", silver.sku_registry(landed_materials, source_banner)
+    )
+    dimension = store.replace(
+        "silver/material_dimension", silver.material_dimension(materials, registry)
+    )
+    inventory = store.replace(
+        "silver/inventory_clean", silver.clean_inventory(landed("inventory"))
+    )
+    store.replace(
+        "silver/enriched_movements", silver.enriched_movements(inventory, dimension)
+    )
     store.replace("silver/open_orders_clean", silver.clean_open_orders(landed("open_orders")))
 
 

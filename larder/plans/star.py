@@ -263,6 +263,13 @@ class Star:
             "sku_registry", lambda: silver.sku_registry(self.raw_materials, BANNER)
         )
 
+    @cached_property
+    def dimension(self) -> DataFrame:
+        return self.published(
+            "material_dimension",
+            lambda: silver.material_dimension(self.materials, self.registry),
+        )
+
     @cached_property
     def brands(self) -> DataFrame:
         """Material to brand, in registry form: series by brand are long enough to forecast."""
@@ -363,7 +370,10 @@ class Star:
 
     @cached_property
     def recent(self) -> DataFrame:
-        return demand_ops.recent_sales(self.movements, self.reference_date, 7, self.registry)
+        return self.published(
+            "actuals",
+            lambda: demand_ops.recent_sales(self.movements, self.reference_date, 7, self.registry),
+        )
 
     @cached_property
     def promo_calendar(self) -> DataFrame:
@@ -656,6 +666,10 @@ class Star:
         """Numbered order lines as a table: file names and segments both read them."""
         return self.published("edi_lines", self.build_edi_lines)
 
+    @cached_property
+    def edi_files(self) -> DataFrame:
+        return self.published("edi_files", lambda: edi.edi_files(self.edi_lines, EDI_TIMESTAMP))
+
     def build_edi_lines(self) -> DataFrame:
         return edi.edi_lines(self.consolidated, self.reference_date)
 

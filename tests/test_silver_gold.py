@@ -117,9 +117,8 @@ def test_enriched_movements_keeps_unknown_materials(rows):
         rows(INVENTORY, move(), move(number="2")[:2] + ("OTHER",) + move()[3:])
     )
     registry = rows(REGISTRY + ", match_confidence double", ("MAT001", "500", 1.0))
-    got = silver.enriched_movements(
-        inventory, silver.clean_materials(rows(MATERIALS, material("MAT001", "500"))), registry
-    )
+    materials = silver.clean_materials(rows(MATERIALS, material("MAT001", "500")))
+    got = silver.enriched_movements(inventory, silver.material_dimension(materials, registry))
     assert {(r.MATNR, r.unified_sku_id, r.material_description) for r in got.collect()} == {
         ("MAT001", "500", "Apple"),
         ("OTHER", None, None),
