@@ -1379,7 +1379,7 @@ def _(s: Star) -> DataFrame:
     )
 
 
-_ONE_ID = f"NL02|8700000000121|{LOADED_AT}"
+_ONE_ID = f"NL00|8700000000006|{LOADED_AT}"
 
 
 @query("get_exception", f"SELECT * FROM (SELECT {_ITEM_COLUMNS} FROM reviewed) WHERE exception_id='{_ONE_ID}'")

@@ -161,7 +161,8 @@ FROM movements_asof LEFT JOIN registry ON MATNR=sap_material_number
 WHERE BWART='601' GROUP BY WERKS, unified_sku_id""",
     "collapse": """
 SELECT v.werks, v.unified_sku_id,
-  CASE WHEN sales_28d<>0 THEN round(sales_7d::DOUBLE/sales_28d::DOUBLE,6) END AS velocity_collapse_ratio,
+  -- the ratio is decimal in the operator: no negative zero
+  CASE WHEN sales_28d<>0 THEN round(sales_7d::DOUBLE/sales_28d::DOUBLE,6)+0e0 END AS velocity_collapse_ratio,
   days_since_last_sale, shelf_life_days::INT AS shelf_life_days
 FROM velocity v LEFT JOIN last_sales l ON v.werks=l.werks AND v.unified_sku_id=l.unified_sku_id
 LEFT JOIN registry r ON v.unified_sku_id=r.unified_sku_id""",

@@ -7,14 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+FILES_PER_BATCH = 10_000
+
+
 def read_feed_stream(
-    spark: SparkSession, path: str, schema: StructType, files: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    files: str | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Parquet file stream with a fixed schema and the file metadata column.
 
-    ``files`` is an optional glob on file names.
+    ``files`` is an optional glob on file names. A backlog is drained in batches of at most
+    ``files_per_batch`` files, each committed on its own.
     """
-    reader = spark.readStream.format("parquet").schema(schema)
+    reader = (
+        spark.readStream.format("parquet")
+        .schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+    )
     if files is not None:
         reader = reader.option("pathGlobFilter", files)
     return reader.load(path).select("*", "_metadata")
@@ -49,6 +61,14 @@ def append_available(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def read_evolved(spark: SparkSession, target: str) -> DataFrame:
-    """All batches of a target whose schema grew: columns a batch lacks read as NULL."""
+def read_evolved(
+    spark: SparkSession, target: str, schema: StructType | None = None
+) -> DataFrame:
+    """All batches of a target whose schema grew: columns a batch lacks read as NULL.
+
+    Without a schema the columns are merged from all file footers; give the present one
+    where the target has many files.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(target)
     return spark.read.option("mergeSchema", "true").parquet(target)

@@ -34,7 +34,9 @@ def _kind(t: pa.DataType) -> str:
 
 def _rows(table: pa.Table) -> Counter:
     names = sorted(table.column_names)
-    columns = [table.column(n).to_pylist() for n in names]
+    columns = [
+        [repr(v) if isinstance(v, float) else v for v in table.column(n).to_pylist()] for n in names
+    ]
     return Counter(zip(*columns)) if columns else Counter()
 
 
