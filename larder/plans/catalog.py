@@ -73,8 +73,11 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Rounds values whose last digits depend on the order of summation."""
-    return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in columns})
+    """Rounds values whose last digits depend on the order of summation.
+
+    Adding zero turns a negative zero, whose sign is such a last digit, into a plain one.
+    """
+    return df.withColumns({c: F.round(F.col(c).cast("double"), 6) + 0.0 for c in columns})
 
 
 def _as_text(df: DataFrame, *columns: str) -> DataFrame:
@@ -583,7 +586,7 @@ def _(s: Star) -> DataFrame:
 def _contribution_check() -> str:
     rows = "\nUNION ALL ".join(
         f"""SELECT werks, unified_sku_id, '{n}' AS feature, round(coalesce({c}e0*({n}::DOUBLE
-          -(SELECT sum({n})::DOUBLE/count({n}) FROM feats)),0),4) AS contribution FROM feats"""
+          -(SELECT sum({n})::DOUBLE/count({n}) FROM feats)),0),4)+0e0 AS contribution FROM feats"""
         for n, c in COEFFICIENTS.items()
     )
     return rows
@@ -595,7 +598,7 @@ def _(s: Star) -> DataFrame:
     means = phantom.feature_means(rows, list(COEFFICIENTS))
     explained = phantom.score_contributions(rows, COEFFICIENTS, means)
     return explained.select(*KEYS, F.explode("contributions").alias("feature", "contribution")).withColumn(
-        "contribution", F.round("contribution", 4)
+        "contribution", F.round("contribution", 4) + 0.0
     )
 
 
@@ -727,8 +730,8 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "seasonal_components",
-    """SELECT werks, unified_sku_id, ds, y, round(trend,6) AS trend, round(weekly,6) AS weekly,
-       round(yearly,6) AS yearly FROM components""",
+    """SELECT werks, unified_sku_id, ds, y, round(trend,6)+0e0 AS trend, round(weekly,6)+0e0 AS weekly,
+       round(yearly,6)+0e0 AS yearly FROM components""",
 )
 def _(s: Star) -> DataFrame:
     split = demand.seasonal_components(demand.history_gate(s.series, 1))
@@ -819,10 +822,10 @@ def _future(h: int) -> str:
 
 @query(
     "forecast_error",
-    "SELECT horizon_days, mae, mean_demand, round(mae_raw/mean_raw,6) AS mae_share, mae_raw/mean_raw<=0.15 AS passes FROM ("
+    "SELECT horizon_days, mae, mean_demand, round(mae_raw/mean_raw,6)+0e0 AS mae_share, mae_raw/mean_raw<=0.15 AS passes FROM ("
     + " UNION ALL ".join(
-        f"""SELECT {h} AS horizon_days, round(avg(abs(forecast_{h}d-actual_{h}d)),6) AS mae,
-        round(avg(actual_{h}d),6) AS mean_demand, avg(abs(forecast_{h}d-actual_{h}d)) AS mae_raw,
+        f"""SELECT {h} AS horizon_days, round(avg(abs(forecast_{h}d-actual_{h}d)),6)+0e0 AS mae,
+        round(avg(actual_{h}d),6)+0e0 AS mean_demand, avg(abs(forecast_{h}d-actual_{h}d)) AS mae_raw,
         avg(actual_{h}d) AS mean_raw FROM future_rows"""
         for h in config.HORIZONS
     )
@@ -860,7 +863,7 @@ ON m.werks=d.werks AND m.unified_sku_id=d.unified_sku_id"""
     "short_history_fallback",
     "SELECT werks, unified_sku_id, f.category, "
     + ", ".join(
-        f"round(CASE WHEN is_fallback THEN m{h} ELSE forecast_{h}d END,6) AS forecast_{h}d"
+        f"round(CASE WHEN is_fallback THEN m{h} ELSE forecast_{h}d END,6)+0e0 AS forecast_{h}d"
         for h in config.HORIZONS
     )
     + ", is_fallback FROM fallback_rows f LEFT JOIN (SELECT category, "
@@ -878,8 +881,8 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "weather_summary",
-    """SELECT round(avg(temperature_max)-15,6) AS temperature_delta,
-       round(avg(coalesce(precipitation,0))-2,6) AS precipitation_delta
+    """SELECT round(avg(temperature_max)-15,6)+0e0 AS temperature_delta,
+       round(avg(coalesce(precipitation,0))-2,6)+0e0 AS precipitation_delta
        FROM (SELECT * FROM weather ORDER BY forecast_date LIMIT 7)""",
 )
 def _(s: Star) -> DataFrame:
@@ -905,13 +908,13 @@ def _(s: Star) -> DataFrame:
     return demand.actual_lift(s.given_forecasts, s.recent)
 
 
-@query("promo_lift", "SELECT werks, unified_sku_id, round(promo_lift,6) AS promo_lift FROM promo")
+@query("promo_lift", "SELECT werks, unified_sku_id, round(promo_lift,6)+0e0 AS promo_lift FROM promo")
 def _(s: Star) -> DataFrame:
     return rounded(s.promo, "promo_lift")
 
 
 _CORRECTED_COLUMNS = [*(f"corrected_{h}d" for h in config.HORIZONS), "promo_lift"]
-_CORRECTED_SQL = ", ".join(f"round({c},6) AS {c}" for c in _CORRECTED_COLUMNS)
+_CORRECTED_SQL = ", ".join(f"round({c},6)+0e0 AS {c}" for c in _CORRECTED_COLUMNS)
 
 
 @query("m2_corrected", f"SELECT werks, unified_sku_id, {_CORRECTED_SQL}, weather_lift FROM corrected")
@@ -921,7 +924,7 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "m2_residuals",
-    f"""SELECT werks, unified_sku_id, {_CORRECTED_SQL}, weather_lift, round(residual_7d,6) AS residual_7d
+    f"""SELECT werks, unified_sku_id, {_CORRECTED_SQL}, weather_lift, round(residual_7d,6)+0e0 AS residual_7d
         FROM residuals""",
 )
 def _(s: Star) -> DataFrame:
@@ -933,7 +936,7 @@ _RESIDUALS = [f"residual_{n}" for n in config.QUANTILES]
 
 @query(
     "residual_quantiles",
-    "SELECT category, " + ", ".join(f"round({c},6) AS {c}" for c in _RESIDUALS) + " FROM residual_q",
+    "SELECT category, " + ", ".join(f"round({c},6)+0e0 AS {c}" for c in _RESIDUALS) + " FROM residual_q",
 )
 def _(s: Star) -> DataFrame:
     return rounded(demand.residual_quantiles(s.residuals, s.master), *_RESIDUALS)
@@ -944,8 +947,8 @@ _QUANTILE_COLUMNS = ["p10", "p50", "p90", "uncertainty_spread"]
 
 @query(
     "quantile_forecast",
-    """SELECT werks, unified_sku_id, round(q[1],6) AS p10, round(q[2],6) AS p50, round(q[3],6) AS p90,
-       round(q[3]-q[1],6) AS uncertainty_spread FROM (
+    """SELECT werks, unified_sku_id, round(q[1],6)+0e0 AS p10, round(q[2],6)+0e0 AS p50, round(q[3],6)+0e0 AS p90,
+       round(q[3]-q[1],6)+0e0 AS uncertainty_spread FROM (
        SELECT c.werks, c.unified_sku_id, list_sort([
          greatest(corrected_7d+coalesce(k.residual_p10,o.residual_p10),0),
          greatest(corrected_7d+coalesce(k.residual_p50,o.residual_p50),0),
@@ -1451,7 +1454,7 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "weekly_mape",
-    f"""SELECT week, category, round(avg(abs(actual-forecast)/actual),6) AS mape, count(*) AS n_series FROM (
+    f"""SELECT week, category, round(avg(abs(actual-forecast)/actual),6)+0e0 AS mape, count(*) AS n_series FROM (
           SELECT WERKS AS werks, unified_sku_id, date_trunc('week', BUDAT)::DATE AS week, sum(MENGE)::DOUBLE AS actual
           FROM movements_asof LEFT JOIN registry ON MATNR=sap_material_number WHERE BWART='601' GROUP BY ALL) a
         JOIN (SELECT {oracle._site('n_regionkey')} AS werks, {oracle._sku('l_partkey')} AS unified_sku_id,
