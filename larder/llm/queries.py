@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import chat, decontam, langid, merkle, neardup, packing, pii, sharding, toxicity, urls
+from larder.llm.sql import ORACLE_SQL  # noqa: F401
 
 RULES = (
     ("allow", "com/"),
@@ -62,7 +63,8 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,4 +116,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_toxicity, op8_packing, op9_sharding, op10_language_id,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
