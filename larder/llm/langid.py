@@ -147,6 +147,8 @@ class Scorer:
             if None in at:
                 at = [self._index(w) if i is None else i for w, i in zip(some, at)]
             total += self.table[at].sum(axis=0, dtype=np.float64)
+        if not total.any():
+            return {"lang": self.model.langs[0], "score": 0.0}
         odds = total / n * min(n, EVIDENCE)
         odds = np.exp(odds - odds.max())
         best = int(np.argmax(np.round(odds, 12)))
@@ -186,7 +188,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", into: str = "langu
     """Adds the struct ``into``: lang and score (0 to 1, the share of the best language).
 
     Null texts and texts without a letter get "und" and 0; so do all texts if the model saw
-    no language. Equal scores go to the first language by name. Other columns and repeated
+    no language. A text of which the model knows no word and no n-gram has score 0. Equal scores go to the first language by name. Other columns and repeated
     rows stay; an existing column ``into`` is replaced.
     """
     def score(texts: list) -> list[dict]:

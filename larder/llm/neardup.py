@@ -283,7 +283,7 @@ def near_duplicates(
     found = signed.select("id", "n", "class").join(
         by_class.select("class", F.coalesce("root", "_rep").alias("root")), "class", "left"
     )
-    component = F.coalesce("root", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     return found.select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
