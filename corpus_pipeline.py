@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from larder.llm import decontam, langid, neardup, packing, pii
 from larder.llm.common import stored
 
-LEAST_SCORE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is recognised; the model learns from the given rows."""
+    """Keeps documents with a language: those without letters or anything known go.
+
+    The model learns from the given rows.
+    """
     found = langid.identify(docs, langid.fit(docs), into="_language")
-    sure = (F.col("_language.lang") != langid.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)
+    sure = (F.col("_language.lang") != langid.UNKNOWN) & (F.col("_language.score") > 0)
     return found.filter(sure).select(*docs.columns)
 
 
