@@ -272,8 +272,9 @@ def near_duplicates(
     groups = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(later))
     named = groups.unionByName(groups.select(F.col("root").alias("id"), "root").distinct())
     sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    # One plan at every size: the named side grows with the data, so it is never broadcast.
     members = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(
-        named.join(sizes, "root"), "id"
+        named.join(sizes, "root").hint("merge"), "id"
     )
     dealt = cells(members, "root", "id", F.col("size"), GROUP_BLOCK).drop("size")
     confirmed = components(stored(_set_links(dealt, words, threshold), "links"))
