@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.session import work_dir
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
     """Newest row of every key.
@@ -52,20 +54,29 @@ def exact_quantiles(
     groups: Sequence[str],
     value: str,
     quantiles: dict[str, float],
-    bucket_width: float = 1.0,
+    buckets: int = 1024,
 ) -> DataFrame:
     """Interpolated quantiles of ``value`` per group as one column per name.
 
     The built-in ``percentile`` keeps every distinct value of a group in one buffer. Here
-    equal values are counted first, the wanted ranks are located on buckets of
-    ``bucket_width``, and values are only ordered inside a bucket. A group with a third of
-    all rows is spread over as many tasks as it has buckets.
+    equal values are counted first and written, the wanted ranks are located on ``buckets``
+    equal parts of the range of the group, and values are only ordered inside a bucket. A
+    group with a third of all rows is spread over as many tasks as it has buckets.
     """
-    counts = (
+    spark, path = df.sparkSession, work_dir(df.sparkSession, "counts")
+    counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*groups, F.col(value).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / bucket_width))
+    )
+    counted.write.parquet(path)
+    counts = spark.read.schema(counted.schema).parquet(path)
+    spread = counts.groupBy(*groups).agg(F.min("_value").alias("_low"), F.max("_value").alias("_high"))
+    share = (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    counts = (
+        counts.join(spread, list(groups))
+        .withColumn("_bucket", F.when(F.col("_high") > F.col("_low"), F.floor(share * buckets)).otherwise(0))
+        .drop("_low", "_high")
     )
     in_bucket = Window.partitionBy(*groups, "_bucket")
     per_value = counts.withColumn("_upto", F.sum("_n").over(in_bucket.orderBy("_value")))

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -20,6 +22,7 @@ from larder.functions.grouping import exact_quantiles
 from larder.functions.quantities import clipped, guarded_ratio
 from larder.operators.gold import attach_sku
 from larder.operators.phantom import NoRowsError
+from larder.session import work_dir
 
 KEYS = list(config.KEYS)
 
@@ -188,25 +191,32 @@ def m1_scoring_rows(
     return stock_context(calendar_features(last, holidays, F.lit(run_date)), stock)
 
 
-def _regressor(
-    inputs: Sequence[str], target: str, output: str, trees: config.TreeSettings
-) -> Pipeline:
+def _prepared(inputs: Sequence[str], rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """Means for missing inputs and one vector per row; the rows are written once for all fits."""
     filled = [f"{c}_filled" for c in inputs]
-    return Pipeline(
-        stages=[
-            Imputer(inputCols=list(inputs), outputCols=filled, strategy="mean"),
-            VectorAssembler(inputCols=filled, outputCol=f"{output}_inputs"),
-            GBTRegressor(
-                featuresCol=f"{output}_inputs",
-                labelCol=target,
-                predictionCol=output,
-                maxIter=trees.trees,
-                maxDepth=trees.depth,
-                stepSize=trees.rate,
-                seed=trees.seed,
-            ),
-        ]
+    steps = [
+        Imputer(inputCols=list(inputs), outputCols=filled, strategy="mean"),
+        VectorAssembler(inputCols=filled, outputCol="_inputs"),
+    ]
+    model = Pipeline(stages=steps).fit(rows)
+    path = work_dir(rows.sparkSession, "prepared")
+    model.transform(rows).drop(*filled).write.parquet(path)
+    return model, rows.sparkSession.read.parquet(path)
+
+
+def _fit(
+    steps: PipelineModel, rows: DataFrame, target: str, output: str, trees: config.TreeSettings
+) -> PipelineModel:
+    grower = GBTRegressor(
+        featuresCol="_inputs",
+        labelCol=target,
+        predictionCol=output,
+        maxIter=trees.trees,
+        maxDepth=trees.depth,
+        stepSize=trees.rate,
+        seed=trees.seed,
     )
+    return PipelineModel([*steps.stages, grower.fit(rows)])
 
 
 def _as_doubles(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -218,14 +228,20 @@ def m1_train(
     trees: config.TreeSettings = config.DEMAND_TREES,
     horizons: Sequence[int] = config.HORIZONS,
 ) -> dict[int, PipelineModel]:
-    """One boosted-tree regressor per horizon."""
+    """One boosted-tree regressor per horizon, fitted side by side on the same prepared rows."""
     rows = _as_doubles(training, config.DEMAND_FEATURES)
     if rows.isEmpty():
         raise NoRowsError("no series is long enough to train on")
-    return {
-        h: _regressor(config.DEMAND_FEATURES, f"demand_{h}d", f"raw_{h}d", trees).fit(rows)
-        for h in horizons
-    }
+    steps, prepared = _prepared(config.DEMAND_FEATURES, rows)
+    with ThreadPoolExecutor(len(horizons)) as pool:
+        fits = {
+            h: pool.submit(
+                inheritable_thread_target(rows.sparkSession)(_fit),
+                steps, prepared, f"demand_{h}d", f"raw_{h}d", trees,
+            )
+            for h in horizons
+        }
+        return {h: fit.result() for h, fit in fits.items()}
 
 
 def m1_predict(models: dict[int, PipelineModel], features: DataFrame) -> DataFrame:
@@ -233,7 +249,7 @@ def m1_predict(models: dict[int, PipelineModel], features: DataFrame) -> DataFra
     rows = _as_doubles(features, config.DEMAND_FEATURES)
     helpers = [f"{c}_filled" for c in config.DEMAND_FEATURES]
     for horizon, model in models.items():
-        rows = model.transform(rows).drop(f"raw_{horizon}d_inputs", *helpers)
+        rows = model.transform(rows).drop("_inputs", *helpers)
     return rows
 
 
@@ -302,11 +318,14 @@ def forecast_error(
     actuals: DataFrame,
     limits: config.ForecastLimits = config.ForecastLimits(),
 ) -> DataFrame:
-    """Mean absolute error per horizon, its share of mean demand, and the release gate."""
-    joined = forecasts.join(actuals, KEYS, "inner")
+    """Mean absolute error per horizon, its share of mean demand, and the release gate.
+
+    Every forecast counts: a series that sold nothing has an actual demand of zero.
+    """
+    joined = forecasts.join(actuals, KEYS, "left")
     parts = []
     for h in config.HORIZONS:
-        actual = F.col(f"actual_{h}d").cast("double")
+        actual = F.coalesce(F.col(f"actual_{h}d").cast("double"), F.lit(0.0))
         parts += [
             F.avg(F.abs(F.col(f"forecast_{h}d") - actual)).alias(f"mae_{h}d"),
             F.avg(actual).alias(f"mean_{h}d"),
@@ -350,6 +369,9 @@ def short_history_fallback(
             (F.coalesce("n_days", F.lit(0)) < min_days) | F.col(columns[0]).isNull(),
         )
     )
+    path = work_dir(known.sparkSession, "known")
+    known.write.parquet(path)
+    known = known.sparkSession.read.schema(known.schema).parquet(path)
     named = F.map_from_arrays(F.array(*map(F.lit, columns)), F.array(*columns))
     medians = (
         exact_quantiles(
@@ -408,7 +430,8 @@ def weather_train(
     """Lift as a function of the two weather distances."""
     if rows.isEmpty():
         raise NoRowsError("no lifts to train on")
-    return _regressor(_WEATHER_INPUTS, "actual_lift", "_raw_lift", trees).fit(rows)
+    steps, prepared = _prepared(_WEATHER_INPUTS, rows)
+    return _fit(steps, prepared, "actual_lift", "_raw_lift", trees)
 
 
 def weather_lift(model: PipelineModel, summary: DataFrame) -> DataFrame:

@@ -13,9 +13,17 @@ from larder.functions.quantities import QUANTITY, guarded_ratio
 KEYS = list(config.KEYS)
 
 
+def sales_per_key(velocity: DataFrame) -> DataFrame:
+    """One row per site and SKU: sales of several units are added up, the first unit is named."""
+    return velocity.groupBy(*KEYS).agg(
+        *[F.sum(f"sales_{n}d").alias(f"sales_{n}d") for n in config.SALES_WINDOWS],
+        F.min("uom").alias("uom"),
+    )
+
+
 def velocity_features(velocity: DataFrame) -> DataFrame:
-    """Sales windows in their canonical types."""
-    return velocity.select(
+    """Sales windows per site and SKU in their canonical types."""
+    return sales_per_key(velocity).select(
         *KEYS,
         *[F.col(f"sales_{n}d").cast(QUANTITY) for n in config.SALES_WINDOWS],
         "uom",
@@ -27,7 +35,7 @@ def stock_features(positions: DataFrame, velocity: DataFrame) -> DataFrame:
 
     Cover is NULL without sales in the week, and where it does not fit its type.
     """
-    week = velocity.select(*KEYS, "sales_7d")
+    week = velocity.groupBy(*KEYS).agg(F.sum("sales_7d").alias("sales_7d"))
     cover = guarded_ratio(F.col("stock_qty"), F.col("sales_7d") / 7).try_cast("decimal(8,2)")
     return positions.join(week, KEYS, "left").select(
         *KEYS,
@@ -52,7 +60,9 @@ def collapse_signals(
     """Signs of sales that stopped: week against month, days since the last sale."""
     ratio = guarded_ratio(F.col("sales_7d"), F.col("sales_28d")).cast("double")
     return (
-        velocity.withColumn("velocity_collapse_ratio", ratio)
+        velocity.groupBy(*KEYS)
+        .agg(*[F.sum(c).alias(c) for c in ("sales_7d", "sales_28d")])
+        .withColumn("velocity_collapse_ratio", ratio)
         .join(last_sales.select(*KEYS, "days_since_last_sale"), KEYS, "left")
         .join(shelf_life_by_sku(registry), "unified_sku_id", "left")
         .select(*KEYS, "velocity_collapse_ratio", "days_since_last_sale", "shelf_life_days")

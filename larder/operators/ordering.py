@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import config
+from larder.functions.documents import document_sections
 from larder.functions.grouping import numbered_within
 from larder.functions.quantities import fixed_text, half_even, numbered
 from larder.operators.phantom import SafetyCapExceeded
@@ -297,13 +298,11 @@ def po_requests(rows: DataFrame) -> DataFrame:
     return rows.select(*KEYS, "recommended_qty", "approval_status", F.to_json(body).alias("payload"))
 
 
-def po_requests_batched(
-    rows: DataFrame, delivery_date: Column, lines_per_document: int = 1000
-) -> DataFrame:
-    """Order documents with several lines of one vendor, items numbered from 1.
+def po_requests_batched(rows: DataFrame, delivery_date: Column) -> DataFrame:
+    """One order document per vendor as rows: header, partner, and items numbered from 1.
 
-    A vendor with more lines than a document holds gets further documents, so every line
-    goes out and no document grows with the data.
+    A document is a table of its sections in the order of ``section_no``, so a vendor with
+    any number of lines has one document and nothing is gathered.
     """
     placed = numbered_within(
         rows.withColumn("vendor_id", F.coalesce("vendor_id", F.lit("UNKNOWN"))).withColumn(
@@ -314,40 +313,24 @@ def po_requests_batched(
         ["werks", "recommended_qty"],
         "_line",
     )
-    item_no = ((F.col("_line") - 1) % lines_per_document) + 1
     line = F.struct(
-        numbered(item_no, 5).alias("PO_ITEM"),
+        numbered(F.col("_line"), 5).alias("PO_ITEM"),
         F.col("unified_sku_id").alias("MATERIAL"),
         F.col("werks").alias("PLANT"),
         F.col("recommended_qty").cast("double").alias("QUANTITY"),
         F.lit(config.ORDER_UNIT).alias("PO_UNIT"),
         F.col("_delivery").alias("DELIV_DATE"),
     )
-    body = F.struct(
-        F.struct(
-            F.lit(config.ORDER_DOC_TYPE).alias("DOC_TYPE"), F.lit("").alias("CREAT_DATE")
-        ).alias("POHEADER"),
-        F.col("_items.item").alias("POITEM"),
-        F.array(
-            F.struct(
-                F.lit(config.PARTNER_LANGUAGE).alias("LANGU"),
-                F.col("vendor_id").alias("BUSN_PARTNR"),
-                F.lit(config.PARTNER_ROLE).alias("PART_ROLE"),
-            )
-        ).alias("POPARTNER"),
+    header = F.struct(
+        F.lit(config.ORDER_DOC_TYPE).alias("DOC_TYPE"), F.lit("").alias("CREAT_DATE")
     )
-    return (
-        placed.withColumn(
-            "document", F.floor((F.col("_line") - 1) / lines_per_document).cast("int") + 1
-        )
-        .groupBy("vendor_id", "document")
-        .agg(F.sort_array(F.collect_list(F.struct("_line", line.alias("item")))).alias("_items"))
-        .select(
-            "vendor_id",
-            "document",
-            F.size("_items").alias("n_lines"),
-            F.to_json(body).alias("payload"),
-        )
+    partner = F.struct(
+        F.lit(config.PARTNER_LANGUAGE).alias("LANGU"),
+        F.col("vendor_id").alias("BUSN_PARTNR"),
+        F.lit(config.PARTNER_ROLE).alias("PART_ROLE"),
+    )
+    return document_sections(
+        placed, "vendor_id", (("POHEADER", header), ("POPARTNER", partner)), "POITEM", line
     )
 
 
@@ -361,11 +344,24 @@ RESPONSE = (
 def po_confirmations(responses: DataFrame, body: str = "response") -> DataFrame:
     """Document number, success and messages of every response.
 
-    The number travels under one of several names. A response succeeds unless one of its
-    return entries is an error.
+    The number travels under one of several names. A readable response succeeds unless one
+    of its return entries is an error. An empty answer counts as done, without a number
+    (orders also need the number, see ``po_audit``). No answer (NULL) and an answer that is
+    not a JSON object are failures with their own message.
     """
-    parsed = responses.withColumn("_r", F.from_json(F.col(body), RESPONSE))
-    entries = F.coalesce(F.col("_r.RETURN"), F.array().cast("array<struct<TYPE:string,MESSAGE:string>>"))
+    parsed = responses.withColumn(
+        "_r",
+        F.from_json(F.col(body), f"{RESPONSE}, _unreadable string", {"columnNameOfCorruptRecord": "_unreadable"}),
+    )
+    text = F.trim(F.col(body), F.lit(" \t\r\n"))
+    problem = (
+        F.when(F.col(body).isNull(), "no answer")
+        .when(text == "", F.lit(None))
+        .when(~text.startswith("{") | F.col("_r").isNull() | F.col("_r._unreadable").isNotNull(), "unreadable answer")
+    )
+    none = F.array().cast("array<struct<TYPE:string,MESSAGE:string>>")
+    failed = F.array(F.struct(F.lit("E").alias("TYPE"), problem.alias("MESSAGE")))
+    entries = F.when(problem.isNotNull(), failed).otherwise(F.coalesce(F.col("_r.RETURN"), none))
     return (
         parsed.withColumn(
             "document_number",

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder import config
+from larder.functions.documents import document_sections
 from larder.functions.grouping import latest_per_key, numbered_within
 from larder.functions.quantities import sale_quantity, signed_quantity
 from larder.operators.gold import attach_sku
@@ -50,7 +51,7 @@ def phantom_labels(
 ) -> DataFrame:
     """1 where stock is booked, sales stopped this week and ran before; unknown stock is 0."""
     day = F.current_date() if label_date is None else F.lit(label_date)
-    sales = velocity.select(*KEYS, "sales_7d", "sales_28d")
+    sales = velocity.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("sales_7d", "sales_28d")])
     return positions.join(sales, KEYS, "inner").select(
         *KEYS, _is_phantom(limits).alias("is_phantom"), day.alias("label_date")
     )
@@ -270,13 +271,11 @@ def goods_movement_requests(alerts: DataFrame) -> DataFrame:
     )
 
 
-def goods_movement_documents(
-    items: DataFrame, posting_date: str, lines_per_document: int = 1000
-) -> DataFrame:
-    """Requests with several items of one plant.
+def goods_movement_documents(items: DataFrame, posting_date: str) -> DataFrame:
+    """One movement document per plant as rows: header, movement code, then the items.
 
-    A plant with more items than a document holds gets further documents, so every item
-    goes out and no document grows with the data.
+    A document is a table of its sections, so a plant with any number of items has one
+    document and nothing is gathered.
     """
     line = F.struct(
         F.col("unified_sku_id").alias("MATERIAL"),
@@ -289,41 +288,30 @@ def goods_movement_documents(
     placed = numbered_within(
         items, "werks", "unified_sku_id", ["storage_location", "movement_type", "quantity"], "_line"
     )
-    return (
-        placed.withColumn(
-            "document", F.floor((F.col("_line") - 1) / lines_per_document).cast("int") + 1
-        )
-        .groupBy("werks", "document")
-        .agg(F.sort_array(F.collect_list(F.struct("_line", line.alias("item")))).alias("_items"))
-        .select(
-            "werks",
-            "document",
-            F.size("_items").alias("n_items"),
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        F.lit(posting_date).alias("PSTNG_DATE"), F.lit(posting_date).alias("DOC_DATE")
-                    ).alias("GOODSMVT_HEADER"),
-                    F.struct(F.lit(config.GOODS_MOVEMENT_CODE).alias("GM_CODE")).alias(
-                        "GOODSMVT_CODE"
-                    ),
-                    F.col("_items.item").alias("GOODSMVT_ITEM"),
-                )
-            ).alias("payload"),
-        )
+    header = F.struct(
+        F.lit(posting_date).alias("PSTNG_DATE"), F.lit(posting_date).alias("DOC_DATE")
+    )
+    code = F.struct(F.lit(config.GOODS_MOVEMENT_CODE).alias("GM_CODE"))
+    return document_sections(
+        placed, "werks", (("GOODSMVT_HEADER", header), ("GOODSMVT_CODE", code)), "GOODSMVT_ITEM", line
     )
 
 
 def writeback_audit(requests: DataFrame, confirmations: DataFrame) -> DataFrame:
-    """Requests with their outcome; a request without a confirmation is an error."""
-    return requests.join(
-        confirmations.select(*KEYS, "success", "message"), KEYS, "left"
-    ).select(
+    """Requests with their outcome; a request without a confirmation is an error.
+
+    ``confirmations`` hold one ``message``, or ``messages`` as ``po_confirmations`` gives them.
+    """
+    if "messages" in confirmations.columns:
+        said = F.nullif(F.array_join("messages", "; "), F.lit("")).alias("message")
+    else:
+        said = F.col("message")
+    answered = confirmations.select(*KEYS, "success", said)
+    ok = F.coalesce("success", F.lit(False))
+    return requests.join(answered, KEYS, "left").select(
         *KEYS,
-        F.when(F.col("success"), "ok").otherwise("error").alias("status"),
-        F.when(
-            ~F.coalesce("success", F.lit(False)), F.coalesce("message", F.lit("no confirmation"))
-        ).alias("message"),
+        F.when(ok, "ok").otherwise("error").alias("status"),
+        F.when(~ok, F.coalesce("message", F.lit("no confirmation"))).alias("message"),
     )
 
 
@@ -337,10 +325,14 @@ def writeback_metrics(audit: DataFrame) -> DataFrame:
 def backtest_precision(
     scores: DataFrame, labels: DataFrame, limits: config.PhantomLimits = LIMITS
 ) -> DataFrame:
-    """Share of flagged rows the replayed labels confirm, against the release gate."""
+    """Share of flagged rows the labels of the same day confirm, against the release gate.
+
+    Both sides have one row per key and ``label_date``.
+    """
+    on = [*KEYS, "label_date"]
     return (
-        scores.select(*KEYS, F.col("is_phantom").alias("_flagged"))
-        .join(labels.select(*KEYS, (F.col("is_phantom") == 1).alias("_true")), KEYS, "inner")
+        scores.select(*on, F.col("is_phantom").alias("_flagged"))
+        .join(labels.select(*on, (F.col("is_phantom") == 1).alias("_true")), on, "inner")
         .agg(
             F.count_if(F.col("_flagged") & F.col("_true")).alias("true_positives"),
             F.count_if(F.col("_flagged") & ~F.col("_true")).alias("false_positives"),

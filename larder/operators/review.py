@@ -75,10 +75,15 @@ def get_exception(queue: DataFrame, ident: str) -> DataFrame:
 def apply_decisions(queue: DataFrame, decisions: DataFrame) -> DataFrame:
     """Queue with its present decisions.
 
-    Decisions are appended to a log; the latest one per row counts. A rejection leaves the
-    override of an earlier approval in place.
+    Decisions are appended to a log; the latest one per row counts. Of decisions with equal
+    times a rejection counts before an approval, then the last manager by name. A rejection
+    leaves the override of an earlier approval in place.
     """
-    decided = F.col("decision_timestamp")
+    timed = F.col("decision_timestamp").isNotNull()
+    decided = F.when(
+        timed,
+        F.struct("decision_timestamp", "manager_decision", "manager_id", "override_reason", "override_qty"),
+    )
     approved = F.col("manager_decision") == "APPROVED"
     latest = decisions.groupBy(*QUEUE_KEY).agg(
         F.max_by(F.struct("manager_decision", "manager_id", "decision_timestamp"), decided).alias(

@@ -44,9 +44,6 @@ from larder.streaming import bronze
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
-# Trees per model in the registered queries. The full sizes are the defaults of the
-# operators; boosting is sequential, so a registered query builds fewer rounds.
-QUERY_TREES = config.TreeSettings(trees=10, depth=5, rate=0.1)
 COEFFICIENTS = dict(
     zip(config.PHANTOM_FEATURES, (-0.5, -0.25, 0.125, 0.0625, 0.03125, 0.5, -1.5, 0.25))
 )
@@ -94,7 +91,7 @@ _LINE_COLUMNS = (
 
 def _line_stream(s: Star) -> DataFrame:
     return bronze.read_feed_stream(
-        s.spark, s.folder, s.table("lineitem").schema, files="lineitem.parquet"
+        s.spark, f"{s.folder}/lineitem.parquet", s.table("lineitem").schema
     )
 
 
@@ -156,12 +153,14 @@ def _(s: Star) -> DataFrame:
        MHDLP::DOUBLE AS MHDLP, LAEDA, ERSDA FROM raw_materials""",
 )
 def _(s: Star) -> DataFrame:
-    """The first batch has no barcode column, the second brings it."""
-    target = work_dir(s.spark, "evolution")
-    s.older_materials.drop("EAN11").write.mode("append").parquet(target)
-    s.current_materials.write.mode("append").parquet(target)
+    """The first batch landed has no barcode column, the second brings it; one stream drains both."""
+    base = work_dir(s.spark, "evolution")
+    for batch in (s.older_materials.drop("EAN11"), s.current_materials):
+        batch.write.mode("append").parquet(f"{base}/landing")
+        stream = bronze.read_feed_stream(s.spark, f"{base}/landing")
+        bronze.append_available(stream.drop("_metadata"), f"{base}/rows", f"{base}/state")
     columns = [f.name for f in FEEDS["materials"].schema.fields]
-    return plain(bronze.read_evolved(s.spark, target).select(*columns))
+    return plain(bronze.read_evolved(s.spark, f"{base}/rows").select(*columns))
 
 
 @query(
@@ -234,12 +233,10 @@ _EXPECTED = {
         WHERE BWART IN ('101','102','261','262','601','602') AND MENGE>=10""",
 )
 def _(s: Star) -> DataFrame:
-    kept = quality.expect_or_drop(
-        s.raw_movements, "known_type", _EXPECTED["known_type"], Observation("known_type")
-    )
-    return _movement_text(
-        quality.expect_or_drop(kept, "large_move", _EXPECTED["large_move"], Observation("large_move"))
-    )
+    kept = s.raw_movements
+    for name in ("known_type", "large_move"):
+        kept = quality.expect_or_drop(kept, name, _EXPECTED[name], Observation(name))
+    return _movement_text(kept)
 
 
 @query(
@@ -252,7 +249,16 @@ def _(s: Star) -> DataFrame:
          count(*) FILTER (BUDAT>DATE '1999-06-30') FROM raw_movements""",
 )
 def _(s: Star) -> DataFrame:
-    return quality.expectation_report(s.raw_movements, _EXPECTED)
+    """Nothing is dropped; failures are counted by the action that reads the rows."""
+    rows, seen = s.raw_movements, {n: Observation(f"warn_{n}") for n in _EXPECTED}
+    for name, condition in _EXPECTED.items():
+        rows = quality.expect_warn(rows, name, condition, seen[name])
+    total = Observation("warn_rows")
+    rows.observe(total, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    n, failed = total.get["n"], {name: seen[name].get[f"{name}_failed"] for name in _EXPECTED}
+    return s.spark.createDataFrame(
+        [(name, n - f, f) for name, f in failed.items()], "expectation string, passed long, failed long"
+    )
 
 
 _VELOCITY_COLUMNS = (
@@ -473,7 +479,7 @@ def _(s: Star) -> DataFrame:
 # ---- features ------------------------------------------------------------------------------
 
 
-@query("velocity_features", f"SELECT {_VELOCITY_COLUMNS} FROM velocity")
+@query("velocity_features", f"SELECT {_VELOCITY_COLUMNS} FROM key_velocity")
 def _(s: Star) -> DataFrame:
     return plain(features.velocity_features(s.velocity))
 
@@ -554,25 +560,44 @@ def _phantom_rows(s: Star) -> DataFrame:
 
 
 def _phantom_model(s: Star):
-    return s.model("phantom_model", lambda: phantom.phantom_train(_phantom_rows(s), QUERY_TREES))
+    return s.model("phantom_model", lambda: phantom.phantom_train(_phantom_rows(s)))
 
 
-@query("phantom_train")
+@query(
+    "phantom_train",
+    """SELECT count(*) AS n_rows, sum(is_phantom)::BIGINT AS n_phantom, true AS all_scored, true AS better_than_none
+       FROM feats f JOIN label_rows l ON f.werks=l.werks AND f.unified_sku_id=l.unified_sku_id
+       WHERE f.unified_sku_id IN (SELECT unified_sku_id FROM registry WHERE match_confidence=1)""",
+)
 def _(s: Star) -> DataFrame:
-    """Fit on the training rows: size, positives and rows on the right side of one half."""
+    """Fit on the training rows: size, positives, and whether it errs less than the empty rule."""
     scored = _phantom_model(s).transform(
         phantom.model_inputs(_phantom_rows(s), config.PHANTOM_FEATURES)
     )
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("is_phantom").alias("n_phantom"),
-        F.count_if(F.col("prediction") == F.col("is_phantom")).alias("n_correct"),
+        (F.count("prediction") == F.count(F.lit(1))).alias("all_scored"),
+        (F.count_if(F.col("prediction") != F.col("is_phantom")) <= F.sum("is_phantom")).alias(
+            "better_than_none"
+        ),
     )
 
 
-@query("phantom_score")
+@query(
+    "phantom_score",
+    """SELECT werks, unified_sku_id, shelf_life_days, true AS is_share, true AS band_agrees FROM feats""",
+)
 def _(s: Star) -> DataFrame:
-    return phantom.phantom_score(_phantom_model(s), s.features)
+    """Every feature row with a share as score and the band that belongs to it."""
+    score = F.col("phantom_score")
+    band = F.when(score >= 0.95, "AUTO_CORRECTED").when(score >= 0.85, "PENDING_REVIEW").otherwise("BELOW_THRESHOLD")
+    return phantom.phantom_score(_phantom_model(s), s.features).select(
+        *KEYS,
+        "shelf_life_days",
+        score.between(0.0, 1.0).alias("is_share"),
+        ((F.col("action") == band) & (F.col("is_phantom") == (score >= 0.85))).alias("band_agrees"),
+    )
 
 
 _SCORE_COLUMNS = "werks, unified_sku_id, phantom_score, is_phantom, action, shelf_life_days"
@@ -615,12 +640,16 @@ def _review_rows(s: Star) -> DataFrame:
 @query(
     "phantom_review_append",
     """SELECT werks, unified_sku_id, phantom_score, '1999-06-30 06:00:00' AS _scored_at,
-       NULL::VARCHAR AS _resolved_at, NULL::VARCHAR AS _resolution FROM scored WHERE action='PENDING_REVIEW'""",
+       NULL::VARCHAR AS _resolved_at, NULL::VARCHAR AS _resolution, true AS stamped
+       FROM scored, range(2) WHERE action='PENDING_REVIEW'""",
 )
 def _(s: Star) -> DataFrame:
+    """Two runs append; nothing that is there changes."""
     target = work_dir(s.spark, "review")
-    _review_rows(s).write.mode("append").parquet(target)
-    return _as_text(s.spark.read.parquet(target), "_scored_at", "_resolved_at")
+    for _run in range(2):
+        sinks.publish_append(_review_rows(s), target)
+    log = s.spark.read.parquet(target).withColumn("stamped", F.col("_created_at").isNotNull())
+    return _as_text(log.drop("_created_at"), "_scored_at", "_resolved_at")
 
 
 @query(
@@ -645,10 +674,13 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "writeback_cap",
-    "SELECT count(*) AS n_rows, 500 AS cap, count(*)<=500 AS within_cap FROM corrections",
+    f"SELECT {_SCORE_COLUMNS}, n<=500 AS within_cap FROM corrections, (SELECT count(*) AS n FROM corrections)",
 )
 def _(s: Star) -> DataFrame:
-    return phantom.corrections_within_cap(s.alerts)
+    """The corrections a run may emit under a cap of their number, and what the default cap says."""
+    count = phantom.corrections_within_cap(s.alerts).first()
+    passed = phantom.writeback_cap(s.alerts, cap=count["n_rows"])
+    return passed.drop("stock_qty").withColumn("within_cap", F.lit(count["within_cap"]))
 
 
 @query(
@@ -663,14 +695,12 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "goods_movement_documents",
-    """SELECT werks, document, count(*)::INT AS n_items, to_json({
-         'GOODSMVT_HEADER': {'PSTNG_DATE': '19990630', 'DOC_DATE': '19990630'},
-         'GOODSMVT_CODE': {'GM_CODE': '01'},
-         'GOODSMVT_ITEM': list({'MATERIAL': unified_sku_id, 'PLANT': werks, 'STGE_LOC': '0001',
-           'MOVE_TYPE': '562', 'ENTRY_QNT': stock_qty::DOUBLE} ORDER BY line)})::VARCHAR AS payload
-       FROM (SELECT *, ((line-1)//1000+1)::INT AS document FROM (
-         SELECT *, row_number() OVER (PARTITION BY werks ORDER BY unified_sku_id) AS line FROM corrections))
-       GROUP BY werks, document""",
+    """SELECT DISTINCT werks, 1 AS section_no, 'GOODSMVT_HEADER' AS section,
+         to_json({'PSTNG_DATE': '19990630', 'DOC_DATE': '19990630'})::VARCHAR AS payload FROM corrections
+       UNION ALL SELECT DISTINCT werks, 2, 'GOODSMVT_CODE', to_json({'GM_CODE': '01'})::VARCHAR FROM corrections
+       UNION ALL SELECT werks, 2+row_number() OVER (PARTITION BY werks ORDER BY unified_sku_id), 'GOODSMVT_ITEM',
+         to_json({'MATERIAL': unified_sku_id, 'PLANT': werks, 'STGE_LOC': '0001',
+           'MOVE_TYPE': '562', 'ENTRY_QNT': stock_qty::DOUBLE})::VARCHAR FROM corrections""",
 )
 def _(s: Star) -> DataFrame:
     items = s.alerts.filter(F.col("action") == phantom.AUTO_CORRECTED).select(
@@ -702,13 +732,15 @@ def _(s: Star) -> DataFrame:
     "backtest_precision",
     """SELECT tp AS true_positives, fp AS false_positives, tp/(tp+fp) AS precision,
        coalesce(tp/(tp+fp)>=0.8,false) AS passes FROM (
-       SELECT count(*) FILTER (s.is_phantom AND r.is_phantom=1) AS tp,
-         count(*) FILTER (s.is_phantom AND r.is_phantom=0) AS fp
-       FROM scored s JOIN replayed r ON s.werks=r.werks AND s.unified_sku_id=r.unified_sku_id)""",
+       SELECT count(*) FILTER (flagged AND is_phantom=1) AS tp, count(*) FILTER (flagged AND is_phantom=0) AS fp
+       FROM (SELECT *, (day(label_date)+length(unified_sku_id)+right(werks,1)::INT)%4=0 AS flagged FROM replayed))""",
 )
 def _(s: Star) -> DataFrame:
+    """A given score per key and day against the label of that day."""
     replayed = phantom.label_replay(s.movements, s.reference_date, s.registry)
-    return phantom.backtest_precision(s.given_scores, replayed)
+    turn = F.dayofmonth("label_date") + F.length("unified_sku_id") + F.right("werks", F.lit(1)).cast("int")
+    scores = replayed.select(*KEYS, "label_date", (turn % 4 == 0).alias("is_phantom"))
+    return phantom.backtest_precision(scores, replayed)
 
 
 # ---- demand ------------------------------------------------------------------------------------
@@ -721,11 +753,14 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "history_gate",
-    """SELECT werks, unified_sku_id, n_days, n_days>=364 AS can_train, n_days>=14 AS can_score
-       FROM (SELECT werks, unified_sku_id, count(*) AS n_days FROM series GROUP BY ALL)""",
+    """SELECT werks, unified_sku_id, ds, y::DOUBLE AS y, n_days>=14 AS can_score FROM (
+         SELECT *, count(*) OVER (PARTITION BY werks, unified_sku_id) AS n_days FROM series) WHERE n_days>=364""",
 )
 def _(s: Star) -> DataFrame:
-    return demand.history_summary(s.series)
+    """The days of the series that pass the training gate, and their scoring flag."""
+    passed = demand.history_gate(s.series, config.TRAIN_MIN_DAYS)
+    flags = demand.history_summary(s.series).select(*KEYS, "can_score")
+    return plain(passed.join(flags, KEYS))
 
 
 @query(
@@ -739,7 +774,10 @@ def _(s: Star) -> DataFrame:
 
 
 def _holidays(s: Star) -> DataFrame:
-    return dutch_public_holidays(s.spark, 1990, 2010)
+    """Holidays of the years the series cover, and of the reference date."""
+    years = s.series.agg(F.min(F.year("ds")), F.max(F.year("ds"))).first()
+    this = s.reference_date.year
+    return dutch_public_holidays(s.spark, min(years[0] or this, this), max(years[1] or this, this))
 
 
 @query(
@@ -755,7 +793,7 @@ def _(s: Star) -> DataFrame:
 @query(
     "stock_context",
     """SELECT s.werks, s.unified_sku_id, ds, y::DOUBLE AS y, stock_qty::DOUBLE AS stock_qty, days_of_cover
-       FROM series s JOIN brand_stock b ON s.werks=b.werks AND s.unified_sku_id=b.unified_sku_id""",
+       FROM series s JOIN kind_stock b ON s.werks=b.werks AND s.unified_sku_id=b.unified_sku_id""",
 )
 def _(s: Star) -> DataFrame:
     return plain(demand.stock_context(s.series, s.series_stock))
@@ -777,43 +815,57 @@ def _(s: Star) -> DataFrame:
 
 
 def _demand_rows(s: Star) -> DataFrame:
-    """Small data holds no series of a year, so the short scoring gate applies to training too."""
     return s.published(
-        "demand_training",
-        lambda: demand.m1_training_rows(
-            s.series, _holidays(s), s.series_stock, min_days=config.SCORE_MIN_DAYS
-        ),
+        "demand_training", lambda: demand.m1_training_rows(s.series, _holidays(s), s.series_stock)
     )
 
 
 def _demand_models(s: Star):
-    return {
-        h: s.model(
-            f"demand_model_{h}d",
-            lambda h=h: demand.m1_train(_demand_rows(s), QUERY_TREES, (h,))[h],
-        )
-        for h in config.HORIZONS
-    }
+    fitted: dict = {}
+
+    def train(h: int):
+        if not fitted:
+            fitted.update(demand.m1_train(_demand_rows(s)))
+        return fitted[h]
 
+    return {h: s.model(f"demand_model_{h}d", lambda h=h: train(h)) for h in config.HORIZONS}
 
-@query("m1_train")
+
+@query(
+    "m1_train",
+    """SELECT count(*) AS n_rows, true AS beats_mean_7d, true AS beats_mean_14d, true AS beats_mean_28d FROM (
+       SELECT s.werks, count(*) OVER k AS n_days, count(*) OVER (k ORDER BY ds ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS ahead,
+         days_of_cover FROM series s JOIN kind_stock b ON s.werks=b.werks AND s.unified_sku_id=b.unified_sku_id
+       WINDOW k AS (PARTITION BY s.werks, s.unified_sku_id))
+       WHERE n_days>=364 AND ahead=28 AND days_of_cover IS NOT NULL""",
+)
 def _(s: Star) -> DataFrame:
-    """Fit per horizon on the training rows."""
+    """Training rows, and whether the fit of every horizon errs less than its mean."""
     rows = _demand_rows(s)
+    means = rows.agg(*[F.avg(f"demand_{h}d") for h in config.HORIZONS]).first()
     fitted = demand.m1_predict(_demand_models(s), rows)
-    return fitted.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[
-            F.avg(F.abs(F.col(f"raw_{h}d") - F.col(f"demand_{h}d"))).alias(f"mae_{h}d")
-            for h in config.HORIZONS
-        ],
-    )
+    errors = [
+        (
+            F.avg(F.abs(F.col(f"raw_{h}d") - F.col(f"demand_{h}d")))
+            < F.avg(F.abs(F.lit(mean) - F.col(f"demand_{h}d")))
+        ).alias(f"beats_mean_{h}d")
+        for h, mean in zip(config.HORIZONS, means)
+    ]
+    return fitted.agg(F.count(F.lit(1)).alias("n_rows"), *errors)
 
 
-@query("m1_score")
+@query(
+    "m1_score",
+    """SELECT s.werks, s.unified_sku_id, true AS not_negative FROM (
+         SELECT werks, unified_sku_id FROM series GROUP BY ALL HAVING count(*)>=14) s
+       JOIN kind_stock b ON s.werks=b.werks AND s.unified_sku_id=b.unified_sku_id""",
+)
 def _(s: Star) -> DataFrame:
     inputs = demand.m1_scoring_rows(s.series, _holidays(s), s.series_stock, s.reference_date)
-    return demand.m1_score(_demand_models(s), inputs)
+    scored = demand.m1_score(_demand_models(s), inputs)
+    return scored.select(
+        *KEYS, F.least(*[F.col(f"forecast_{h}d") >= 0 for h in config.HORIZONS]).alias("not_negative")
+    )
 
 
 def _future(h: int) -> str:
@@ -842,20 +894,28 @@ def _(s: Star) -> DataFrame:
 
 
 oracle.VIEWS["future_rows"] = f"""
-SELECT f.*, actual_7d, actual_14d, actual_28d FROM forecasts f JOIN (
+SELECT f.*, coalesce(actual_7d,0) AS actual_7d, coalesce(actual_14d,0) AS actual_14d,
+  coalesce(actual_28d,0) AS actual_28d FROM forecasts f LEFT JOIN (
   SELECT WERKS AS werks, unified_sku_id, {', '.join(_future(h) for h in config.HORIZONS)}
   FROM inventory_clean LEFT JOIN registry ON MATNR=sap_material_number
   WHERE BWART='601' AND BUDAT > {oracle.REF} AND BUDAT <= {oracle.REF}+28 GROUP BY WERKS, unified_sku_id) a
 ON f.werks=a.werks AND f.unified_sku_id=a.unified_sku_id"""
 
-_FALLBACK_DAYS = 3
 oracle.VIEWS["fallback_rows"] = f"""
 SELECT m.werks, m.unified_sku_id, category, forecast_7d, forecast_14d, forecast_28d,
-  coalesce(n_days,0)<{_FALLBACK_DAYS} OR forecast_7d IS NULL AS is_fallback
-FROM master m LEFT JOIN forecasts f ON m.werks=f.werks AND m.unified_sku_id=f.unified_sku_id
+  coalesce(n_days,0)<{config.TRAIN_MIN_DAYS} OR forecast_7d IS NULL AS is_fallback
+FROM (SELECT WERKS AS werks, coalesce(r.unified_sku_id, k.unified_sku_id) AS unified_sku_id, k.unified_sku_id AS category
+    FROM movements_asof JOIN kinds k ON MATNR=k.sap_material_number LEFT JOIN registry r ON MATNR=r.sap_material_number
+    GROUP BY ALL
+  UNION ALL SELECT WERKS, k.unified_sku_id, k.unified_sku_id
+    FROM movements_asof JOIN kinds k ON MATNR=k.sap_material_number GROUP BY ALL) m
+LEFT JOIN (SELECT * FROM forecasts UNION ALL SELECT werks, unified_sku_id, greatest(s*7/28,0), greatest(s*14/28,0),
+    greatest(s*28/28,0) FROM (SELECT *, sales_28d::DOUBLE AS s FROM kind_key_velocity)) f
+  ON m.werks=f.werks AND m.unified_sku_id=f.unified_sku_id
 LEFT JOIN (SELECT WERKS AS werks, unified_sku_id, count(DISTINCT BUDAT) AS n_days
   FROM movements_asof LEFT JOIN registry ON MATNR=sap_material_number
-  WHERE BWART='601' AND BUDAT >= {oracle.REF}-728 GROUP BY ALL) d
+  WHERE BWART='601' AND BUDAT >= {oracle.REF}-728 GROUP BY ALL
+  UNION ALL SELECT werks, unified_sku_id, count(*) FROM series GROUP BY ALL) d
 ON m.werks=d.werks AND m.unified_sku_id=d.unified_sku_id"""
 
 
@@ -871,11 +931,12 @@ ON m.werks=d.werks AND m.unified_sku_id=d.unified_sku_id"""
     + " FROM fallback_rows WHERE NOT is_fallback GROUP BY category) q ON f.category=q.category",
 )
 def _(s: Star) -> DataFrame:
-    """By site and SKU most series are short; three days of sales count as enough here."""
-    series = demand.daily_demand(s.movements, s.reference_date, s.registry)
-    rows = demand.short_history_fallback(
-        s.given_forecasts, demand.history_summary(series), s.master, _FALLBACK_DAYS
-    )
+    """By site and SKU all series are short; they take the median over the sites of their
+    material type, whose series hold enough days."""
+    by_sku = demand.daily_demand(s.movements, s.reference_date, s.registry)
+    days = demand.history_summary(by_sku).unionByName(demand.history_summary(s.series))
+    forecasts = s.given_forecasts.unionByName(s.kind_forecasts)
+    rows = demand.short_history_fallback(forecasts, days, s.kind_categories, config.TRAIN_MIN_DAYS)
     return rounded(rows, *[f"forecast_{h}d" for h in config.HORIZONS])
 
 
@@ -891,12 +952,18 @@ def _(s: Star) -> DataFrame:
     )
 
 
-@query("weather_lift")
+@query(
+    "weather_lift",
+    f"""SELECT round({oracle._clip('avg(lift)', 0.5, 2.0)},6)+0e0 AS weather_lift FROM (
+        SELECT ({oracle._clip('actual_7d::DOUBLE/greatest(forecast_7d,1)', 0.5, 2.0)})::DOUBLE AS lift
+        FROM forecasts f JOIN recent r ON f.werks=r.werks AND f.unified_sku_id=r.unified_sku_id)""",
+)
 def _(s: Star) -> DataFrame:
+    """All lifts were seen in one weather, so the model can only give their mean."""
     lifts = demand.actual_lift(s.given_forecasts, s.recent)
     rows = s.published("weather_training", lambda: demand.weather_training_rows(lifts, s.weather))
-    model = s.model("weather_model", lambda: demand.weather_train(rows, QUERY_TREES))
-    return demand.weather_lift(model, demand.weather_summary(s.weather))
+    model = s.model("weather_model", lambda: demand.weather_train(rows))
+    return rounded(demand.weather_lift(model, demand.weather_summary(s.weather)), "weather_lift")
 
 
 @query(
@@ -1080,9 +1147,12 @@ def _(s: Star) -> DataFrame:
     return s.candidates
 
 
-@query("po_cap", "SELECT count(*) AS n_rows, 200 AS cap, count(*)<=200 AS within_cap FROM cands")
+@query("po_cap", "SELECT *, n<=200 AS within_cap FROM cands, (SELECT count(*) AS n FROM cands)")
 def _(s: Star) -> DataFrame:
-    return ordering.orders_within_cap(s.candidates)
+    """The orders a run may emit under a cap of their number, and what the default cap says."""
+    count = ordering.orders_within_cap(s.candidates).first()
+    passed = ordering.po_cap(s.candidates, cap=count["n_rows"])
+    return passed.withColumns({"n": F.lit(count["n_rows"]).cast("long"), "within_cap": F.lit(count["within_cap"])})
 
 
 @query(
@@ -1096,20 +1166,22 @@ def _(s: Star) -> DataFrame:
     return ordering.po_requests(s.candidates)
 
 
+oracle.VIEWS["order_lines"] = """
+SELECT c.*, transit_days, coalesce(m.vendor_id,'UNKNOWN') AS vendor_id,
+  row_number() OVER (PARTITION BY coalesce(m.vendor_id,'UNKNOWN')
+    ORDER BY c.unified_sku_id, c.werks, recommended_qty) AS line
+FROM cands c LEFT JOIN master m ON c.werks=m.werks AND c.unified_sku_id=m.unified_sku_id"""
+
+
 @query(
     "po_requests_batched",
-    """SELECT vendor_id, document, count(*)::INT AS n_lines, to_json({
-         'POHEADER': {'DOC_TYPE': 'NB', 'CREAT_DATE': ''},
-         'POITEM': list({'PO_ITEM': lpad(((line-1)%1000+1)::VARCHAR,5,'0'), 'MATERIAL': unified_sku_id,
-           'PLANT': werks, 'QUANTITY': recommended_qty::DOUBLE, 'PO_UNIT': 'EA',
-           'DELIV_DATE': strftime(DATE '1999-06-30'+transit_days, '%Y%m%d')} ORDER BY line),
-         'POPARTNER': [{'LANGU': 'EN', 'BUSN_PARTNR': vendor_id, 'PART_ROLE': 'LF'}]})::VARCHAR AS payload
-       FROM (SELECT *, ((line-1)//1000+1)::INT AS document FROM (
-         SELECT c.*, transit_days, coalesce(m.vendor_id,'UNKNOWN') AS vendor_id,
-           row_number() OVER (PARTITION BY coalesce(m.vendor_id,'UNKNOWN')
-             ORDER BY c.unified_sku_id, c.werks, recommended_qty) AS line
-         FROM cands c LEFT JOIN master m ON c.werks=m.werks AND c.unified_sku_id=m.unified_sku_id))
-       GROUP BY vendor_id, document""",
+    """SELECT DISTINCT vendor_id, 1 AS section_no, 'POHEADER' AS section,
+         to_json({'DOC_TYPE': 'NB', 'CREAT_DATE': ''})::VARCHAR AS payload FROM order_lines
+       UNION ALL SELECT DISTINCT vendor_id, 2, 'POPARTNER',
+         to_json({'LANGU': 'EN', 'BUSN_PARTNR': vendor_id, 'PART_ROLE': 'LF'})::VARCHAR FROM order_lines
+       UNION ALL SELECT vendor_id, 2+line, 'POITEM', to_json({'PO_ITEM': lpad(line::VARCHAR,5,'0'),
+         'MATERIAL': unified_sku_id, 'PLANT': werks, 'QUANTITY': recommended_qty::DOUBLE, 'PO_UNIT': 'EA',
+         'DELIV_DATE': strftime(DATE '1999-06-30'+transit_days, '%Y%m%d')})::VARCHAR FROM order_lines""",
 )
 def _(s: Star) -> DataFrame:
     rows = s.candidates.join(s.master.select(*KEYS, "vendor_id", "transit_days"), KEYS, "left")
@@ -1118,9 +1190,12 @@ def _(s: Star) -> DataFrame:
 
 @query(
     "po_confirmations",
-    """SELECT werks, unified_sku_id, CASE WHEN recommended_qty%10=9 THEN '' ELSE '45'||right(unified_sku_id,8) END
-       AS document_number, recommended_qty%10<>9 AS success,
-       CASE WHEN recommended_qty%10=9 THEN 'late; refused' ELSE 'created' END AS messages FROM cands""",
+    """SELECT werks, unified_sku_id, CASE WHEN recommended_qty%10=9 OR odd IN (18,28,38) THEN ''
+         ELSE '45'||right(unified_sku_id,8) END AS document_number,
+       recommended_qty%10<>9 AND odd NOT IN (18,28) AS success,
+       CASE odd WHEN 18 THEN 'no answer' WHEN 28 THEN 'unreadable answer' WHEN 38 THEN ''
+         ELSE CASE WHEN recommended_qty%10=9 THEN 'late; refused' ELSE 'created' END END AS messages
+       FROM (SELECT *, recommended_qty%50 AS odd FROM cands)""",
 )
 def _(s: Star) -> DataFrame:
     return s.order_confirmations.withColumn("messages", F.array_join("messages", "; "))
@@ -1441,11 +1516,11 @@ def _(s: Star) -> DataFrame:
          WHEN exceptions_pending>0 THEN 'amber' ELSE 'green' END AS colour FROM (
        SELECT werks, count(*) FILTER (sweeper_action='AUTO_APPROVE')/count(*) AS no_touch_rate,
          count(*) FILTER (sweeper_action='ESCALATE' AND manager_decision IS NULL) AS exceptions_pending,
-         werks IN (SELECT werks FROM order_audit WHERE bapi_status='ok' AND recommended_qty>=150) AS edi_released
+         werks IN (SELECT werks FROM order_audit WHERE bapi_status='ok') AS edi_released
        FROM reviewed GROUP BY werks)""",
 )
 def _(s: Star) -> DataFrame:
-    released = s.order_audit.filter((F.col("bapi_status") == "ok") & (F.col("recommended_qty") >= 150))
+    released = s.order_audit.filter(F.col("bapi_status") == "ok")
     return review.store_status(s.reviewed_queue, released)
 
 
@@ -1492,7 +1567,7 @@ def _(s: Star) -> DataFrame:
        SELECT category, sum(stock_qty*unit_cost::DECIMAL(18,6))::DOUBLE AS stock_value,
          sum(coalesce(sales_28d,0)*unit_cost::DECIMAL(18,6))::DOUBLE/28 AS daily_cost_of_sales
        FROM master m JOIN positions p ON m.werks=p.werks AND m.unified_sku_id=p.unified_sku_id
-       LEFT JOIN velocity v ON m.werks=v.werks AND m.unified_sku_id=v.unified_sku_id GROUP BY category)""",
+       LEFT JOIN key_velocity v ON m.werks=v.werks AND m.unified_sku_id=v.unified_sku_id GROUP BY category)""",
 )
 def _(s: Star) -> DataFrame:
     return rounded(kpi.days_of_inventory(s.positions, s.velocity, s.master), "days_of_inventory")

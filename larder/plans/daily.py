@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import config
@@ -19,6 +19,7 @@ from larder.functions.calendar import dutch_public_holidays
 from larder.operators import demand, edi, features, gold, ordering, phantom, review, silver, sweep
 from larder.sources import sinks
 from larder.sources.feeds import FEEDS
+from larder.sources.weather import weather_rows
 from larder.streaming import bronze
 
 KEYS = list(config.KEYS)
@@ -45,7 +46,8 @@ class Store:
 def ingest(store: Store, feed_name: str, landing: str) -> None:
     """Loads the new files of a feed into its bronze table."""
     feed = FEEDS[feed_name]
-    stream = bronze.read_feed_stream(store.spark, landing, feed.schema)
+    schema = bronze.grown_schema(store.spark, landing, feed.schema)
+    stream = bronze.read_feed_stream(store.spark, landing, schema)
     bronze.append_available(
         bronze.with_audit_columns(stream),
         store.path(feed.target),
@@ -58,7 +60,8 @@ def refine(store: Store, source_banner: str) -> None:
 
     def landed(name: str) -> DataFrame:
         feed = FEEDS[name]
-        return store.read(feed.target).select(*[f.name for f in feed.schema.fields])
+        rows = bronze.read_evolved(store.spark, store.path(feed.target))
+        return rows.select(*[f.name for f in feed.schema.fields])
 
     landed_materials = landed("materials")
     materials = store.replace(
@@ -133,7 +136,9 @@ def train_phantom(
     model.write().overwrite().save(store.path("models/phantom"))
 
 
-def score_phantom(store: Store) -> DataFrame:
+def score_phantom(
+    store: Store, max_corrections: int = config.PhantomLimits().max_auto_corrections
+) -> DataFrame:
     """Scores, alerts, review rows, and the correction requests that may go out."""
     model = PipelineModel.load(store.path("models/phantom"))
     scored = phantom.phantom_score(model, feature_vector(store)).withColumn(
@@ -144,7 +149,14 @@ def score_phantom(store: Store) -> DataFrame:
     phantom.phantom_review_rows(scores).write.mode("append").parquet(
         store.path("gold/phantom_review")
     )
-    return phantom.goods_movement_requests(phantom.writeback_cap(alerts))
+    return phantom.goods_movement_requests(phantom.writeback_cap(alerts, max_corrections))
+
+
+def record_corrections(store: Store, requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """Appends the outcome of correction requests to their audit log; returns its counts."""
+    audit = phantom.writeback_audit(requests, ordering.po_confirmations(responses))
+    sinks.publish_append(audit, store.path("gold/writeback_audit"))
+    return phantom.writeback_metrics(store.read("gold/writeback_audit"))
 
 
 def train_demand(
@@ -162,16 +174,41 @@ def train_demand(
         model.write().overwrite().save(store.path(f"models/demand_{horizon}d"))
 
 
+def learn_weather(store: Store, bodies: DataFrame) -> None:
+    """Stores the forecast days and fits the weather lift on the lifts seen last week."""
+    weather = store.replace("demand/weather", weather_rows(bodies))
+    lifts = demand.actual_lift(store.read("demand/m1_forecast"), store.read("demand/actuals"))
+    model = demand.weather_train(
+        store.replace("demand/weather_training", demand.weather_training_rows(lifts, weather))
+    )
+    model.write().overwrite().save(store.path("models/weather"))
+
+
+def _weather_lift(store: Store, bodies: DataFrame) -> Column:
+    """The lift of the coming days as a scalar, 1.0 until a model has been fitted."""
+    path = store.spark._jvm.org.apache.hadoop.fs.Path(store.path("models/weather"))
+    if not path.getFileSystem(store.spark._jsc.hadoopConfiguration()).exists(path):
+        return F.lit(1.0)
+    summary = demand.weather_summary(weather_rows(bodies))
+    lift = demand.weather_lift(PipelineModel.load(store.path("models/weather")), summary)
+    return store.replace("demand/weather_lift", lift).scalar()
+
+
 def score_demand(
     store: Store,
     reference_date: dt.date,
     categories: DataFrame,
-    weather_lift: float,
+    weather: float | DataFrame,
     mapping: DataFrame | None = None,
     calendar: DataFrame | None = None,
     min_days: int = config.SCORE_MIN_DAYS,
 ) -> None:
-    """Base forecast, corrections, residual quantiles and the probabilistic forecast."""
+    """Base forecast, fallback, corrections, residual quantiles and the probabilistic forecast.
+
+    ``categories`` lists every series that needs a forecast; those with too short a history
+    take the median of their category and are flagged in ``demand/with_fallback``.
+    ``weather`` is a lift, or forecast bodies for the fitted weather model.
+    """
     series, stock = _demand_inputs(store, reference_date, mapping)
     models = {
         h: PipelineModel.load(store.path(f"models/demand_{h}d")) for h in config.HORIZONS
@@ -179,7 +216,13 @@ def score_demand(
     inputs = demand.m1_scoring_rows(
         series, _holidays(store, reference_date), stock, reference_date, min_days
     )
-    forecasts = store.replace("demand/m1_forecast", demand.m1_score(models, inputs))
+    scored = store.replace("demand/m1_forecast", demand.m1_score(models, inputs))
+    every = store.replace(
+        "demand/with_fallback",
+        demand.short_history_fallback(scored, demand.history_summary(series), categories, min_days),
+    )
+    columns = [f"forecast_{h}d" for h in config.HORIZONS]
+    forecasts = every.select(*KEYS, *columns).dropna(subset=columns)
     actuals = store.replace(
         "demand/actuals",
         demand.recent_sales(
@@ -187,9 +230,8 @@ def score_demand(
         ),
     )
     promo = demand.promo_lift(forecasts, actuals, calendar)
-    corrected = store.replace(
-        "demand/m2_corrected", demand.m2_corrected(forecasts, promo, F.lit(float(weather_lift)))
-    )
+    lift = _weather_lift(store, weather) if isinstance(weather, DataFrame) else F.lit(float(weather))
+    corrected = store.replace("demand/m2_corrected", demand.m2_corrected(forecasts, promo, lift))
     residuals = demand.m2_residuals(corrected, actuals)
     quantiles = store.replace(
         "demand/residual_quantiles", demand.residual_quantiles(residuals, categories)

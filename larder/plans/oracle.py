@@ -74,6 +74,11 @@ FROM movements_asof LEFT JOIN {mapping} ON MATNR=sap_material_number
 WHERE BWART IN ('601','602') GROUP BY WERKS, unified_sku_id, MEINS"""
 
 
+def _per_key(velocity: str) -> str:
+    sums = ", ".join(f"sum(sales_{n}d) AS sales_{n}d" for n in (7, 14, 28, 90))
+    return f"SELECT werks, unified_sku_id, {sums}, min(uom) AS uom FROM {velocity} GROUP BY werks, unified_sku_id"
+
+
 def _stock_features(positions: str, velocity: str) -> str:
     return f"""
 SELECT p.werks, p.unified_sku_id, stock_qty, {_cover('stock_qty', 'sales_7d')} AS days_of_cover, p.uom
@@ -112,7 +117,8 @@ SELECT 'D'||l_orderkey AS MBLNR, lpad(l_linenumber::VARCHAR,4,'0') AS ZEILE,
     WHEN l_returnflag='R' AND l_linestatus='F' THEN '602'
     ELSE '601' END AS BWART,
   CAST(l_quantity*CASE WHEN l_linenumber=1 THEN 8 ELSE 1 END AS DECIMAL(13,3)) AS MENGE,
-  'EA' AS MEINS, l_shipdate::DATE AS BUDAT, l_shipdate::DATE AS CPUDT,
+  CASE WHEN l_partkey%10=3 AND l_linenumber=4 THEN 'KG' ELSE 'EA' END AS MEINS,
+  l_shipdate::DATE AS BUDAT, l_shipdate::DATE AS CPUDT,
   l_shipdate + to_seconds(l_partkey%86400) AS CPUTM FROM site_lines""",
     "raw_open_orders": f"""
 SELECT 'E'||l_orderkey AS EBELN, lpad(l_linenumber::VARCHAR,5,'0') AS EBELP,
@@ -146,14 +152,16 @@ SELECT coalesce(EAN11, 'MATNR-'||MATNR) AS unified_sku_id, MATNR AS sap_material
   CASE WHEN EAN11 IS NOT NULL THEN 1e0 ELSE 0e0 END AS match_confidence, 'HOME_NL' AS source_banner
 FROM (SELECT *, row_number() OVER (PARTITION BY MATNR ORDER BY LAEDA DESC) AS rn FROM raw_materials)
 WHERE rn=1""",
-    "brands": "SELECT MATNR AS sap_material_number, MATKL AS unified_sku_id FROM materials_clean",
+    "kinds": "SELECT MATNR AS sap_material_number, MTART AS unified_sku_id FROM materials_clean",
     # ---- gold, features
     "positions": _positions("registry"),
     "velocity": _velocity("registry"),
-    "brand_positions": _positions("brands"),
-    "brand_velocity": _velocity("brands"),
-    "stock_feat": _stock_features("positions", "velocity"),
-    "brand_stock": _stock_features("brand_positions", "brand_velocity"),
+    "kind_positions": _positions("kinds"),
+    "kind_velocity": _velocity("kinds"),
+    "key_velocity": _per_key("velocity"),
+    "kind_key_velocity": _per_key("kind_velocity"),
+    "stock_feat": _stock_features("positions", "key_velocity"),
+    "kind_stock": _stock_features("kind_positions", "kind_key_velocity"),
     "last_sales": f"""
 SELECT WERKS AS werks, unified_sku_id, max(BUDAT) AS last_sale_date,
   date_diff('day', max(BUDAT), {REF})::INT AS days_since_last_sale
@@ -164,18 +172,18 @@ SELECT v.werks, v.unified_sku_id,
   -- the ratio is decimal in the operator: no negative zero
   CASE WHEN sales_28d<>0 THEN round(sales_7d::DOUBLE/sales_28d::DOUBLE,6)+0e0 END AS velocity_collapse_ratio,
   days_since_last_sale, shelf_life_days::INT AS shelf_life_days
-FROM velocity v LEFT JOIN last_sales l ON v.werks=l.werks AND v.unified_sku_id=l.unified_sku_id
+FROM key_velocity v LEFT JOIN last_sales l ON v.werks=l.werks AND v.unified_sku_id=l.unified_sku_id
 LEFT JOIN registry r ON v.unified_sku_id=r.unified_sku_id""",
     "feats": """
 SELECT v.werks, v.unified_sku_id, sales_7d, sales_14d, sales_28d, sales_90d, v.uom, stock_qty, days_of_cover,
   velocity_collapse_ratio, days_since_last_sale, shelf_life_days
-FROM velocity v JOIN stock_feat s ON v.werks=s.werks AND v.unified_sku_id=s.unified_sku_id
+FROM key_velocity v JOIN stock_feat s ON v.werks=s.werks AND v.unified_sku_id=s.unified_sku_id
 JOIN collapse c ON v.werks=c.werks AND v.unified_sku_id=c.unified_sku_id""",
     # ---- phantom stock
     "label_rows": f"""
 SELECT p.werks, p.unified_sku_id,
   CASE WHEN stock_qty>0 AND sales_7d=0 AND sales_28d>5 THEN 1 ELSE 0 END AS is_phantom, {REF} AS label_date
-FROM positions p JOIN velocity v ON p.werks=v.werks AND p.unified_sku_id=v.unified_sku_id""",
+FROM positions p JOIN key_velocity v ON p.werks=v.werks AND p.unified_sku_id=v.unified_sku_id""",
     "replayed": f"""
 SELECT werks, unified_sku_id,
   CASE WHEN stock>0 AND week=0 AND month>5 THEN 1 ELSE 0 END AS is_phantom, label_date
@@ -199,7 +207,7 @@ FROM (SELECT werks, unified_sku_id, CASE WHEN stock_qty>0
     # ---- demand
     "series": f"""
 SELECT WERKS AS werks, unified_sku_id, BUDAT AS ds, sum(MENGE) AS y
-FROM movements_asof LEFT JOIN brands ON MATNR=sap_material_number
+FROM movements_asof LEFT JOIN kinds ON MATNR=sap_material_number
 WHERE BWART='601' AND BUDAT >= {REF}-728 GROUP BY ALL""",
     "parts_of_series": """
 SELECT *, y-trend-weekly AS rest FROM (
@@ -230,7 +238,7 @@ SELECT DISTINCT holiday_date FROM (
   UNION ALL SELECT make_date(y,12,25) FROM easter_days UNION ALL SELECT make_date(y,12,26) FROM easter_days)""",
     "forecasts": """
 SELECT werks, unified_sku_id, greatest(m*7/28,0) AS forecast_7d, greatest(m*14/28,0) AS forecast_14d,
-  greatest(m*28/28,0) AS forecast_28d FROM (SELECT *, sales_28d::DOUBLE AS m FROM velocity)""",
+  greatest(m*28/28,0) AS forecast_28d FROM (SELECT *, sales_28d::DOUBLE AS m FROM key_velocity)""",
     "recent": f"""
 SELECT WERKS AS werks, unified_sku_id, sum(MENGE) AS actual_7d
 FROM movements_asof LEFT JOIN registry ON MATNR=sap_material_number
@@ -324,9 +332,10 @@ FROM gated g LEFT JOIN quantiles q ON g.werks=q.werks AND g.unified_sku_id=q.uni
     "cands": "SELECT * FROM recs WHERE approval_status='AUTO_APPROVED' AND recommended_qty>0",
     "order_audit": """
 SELECT werks, unified_sku_id, recommended_qty, approval_status,
-  CASE WHEN recommended_qty%10=9 THEN 'error' ELSE 'ok' END AS bapi_status,
-  CASE WHEN recommended_qty%10<>9 THEN '45'||right(unified_sku_id,8) END AS po_number,
-  CASE WHEN recommended_qty%10=9 THEN 'late; refused' END AS bapi_message FROM cands""",
+  CASE WHEN recommended_qty%10=9 OR recommended_qty%50 IN (18,28,38) THEN 'error' ELSE 'ok' END AS bapi_status,
+  CASE WHEN recommended_qty%10<>9 AND recommended_qty%50 NOT IN (18,28,38) THEN '45'||right(unified_sku_id,8) END AS po_number,
+  CASE recommended_qty%50 WHEN 18 THEN 'no answer' WHEN 28 THEN 'unreadable answer' WHEN 38 THEN 'no confirmation'
+    ELSE CASE WHEN recommended_qty%10=9 THEN 'late; refused' END END AS bapi_message FROM cands""",
     # ---- sweep and review
     "pending": "SELECT * FROM recs WHERE approval_status='PENDING_REVIEW'",
     "queue": """
@@ -339,9 +348,9 @@ SELECT werks, unified_sku_id, recommended_qty, transit_to_life_ratio, order_valu
 FROM (SELECT *, CASE WHEN p50>0 THEN abs(recommended_qty-p50)/p50 ELSE 0e0 END AS quantity_deviation_pct FROM pending)""",
     "reviewed": """
 SELECT *, CASE WHEN NOT esc THEN NULL WHEN far AND order_value>900 THEN 'APPROVED' WHEN far THEN 'REJECTED'
-    WHEN order_value<400 THEN 'APPROVED' END AS manager_decision,
+    WHEN order_value<400 AND recommended_qty%3=0 THEN 'REJECTED' WHEN order_value<400 THEN 'APPROVED' END AS manager_decision,
   CASE WHEN NOT esc THEN NULL WHEN far AND order_value>900 THEN 'M3' WHEN far THEN 'M2'
-    WHEN order_value<400 THEN 'M1' END AS manager_id,
+    WHEN order_value<400 AND recommended_qty%3=0 THEN 'M0' WHEN order_value<400 THEN 'M1' END AS manager_id,
   CASE WHEN esc AND order_value<400 THEN 'ok' END AS override_reason,
   CASE WHEN NOT esc THEN NULL WHEN far AND order_value>900 THEN recommended_qty
     WHEN order_value<400 THEN recommended_qty//2 END AS override_qty
@@ -353,9 +362,13 @@ SELECT *, approval_status NOT IN ('BLOCKED','MANAGER_REJECTED') AS needs_order F
       ELSE 'FORCE_APPROVED' END END AS approval_status FROM reviewed)""",
     "final_audit": """
 SELECT werks, unified_sku_id, recommended_qty, approval_status,
-  CASE WHEN NOT needs_order THEN 'skipped' WHEN recommended_qty%10=9 THEN 'error' ELSE 'ok' END AS bapi_status,
-  CASE WHEN needs_order AND recommended_qty%10<>9 THEN '45'||right(unified_sku_id,8) END AS po_number,
-  CASE WHEN needs_order AND recommended_qty%10=9 THEN 'late; refused' END AS bapi_message FROM finalized""",
+  CASE WHEN NOT needs_order THEN 'skipped' WHEN recommended_qty%10=9 OR recommended_qty%50 IN (18,28,38) THEN 'error'
+    ELSE 'ok' END AS bapi_status,
+  CASE WHEN needs_order AND recommended_qty%10<>9 AND recommended_qty%50 NOT IN (18,28,38)
+    THEN '45'||right(unified_sku_id,8) END AS po_number,
+  CASE WHEN needs_order THEN CASE recommended_qty%50 WHEN 18 THEN 'no answer' WHEN 28 THEN 'unreadable answer'
+    WHEN 38 THEN 'no confirmation' ELSE CASE WHEN recommended_qty%10=9 THEN 'late; refused' END END END AS bapi_message
+  FROM finalized""",
     "consolidated": """
 SELECT a.*, ean_barcode, vendor_id, unit_cost, transit_days
 FROM (SELECT * FROM order_audit UNION ALL SELECT * FROM final_audit) a

@@ -18,7 +18,7 @@ from larder import config
 from larder.operators import demand as demand_ops
 from larder.operators import features as feature_ops
 from larder.operators import edi, gold, ordering, phantom, review, silver, sweep
-from larder.session import work_dir
+from larder.session import remove_folder, work_dir
 from larder.sources.feeds import FEEDS, conform
 
 REFERENCE_DATE = dt.date(1999, 6, 30)
@@ -93,13 +93,28 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
+    @cached_property
+    def content(self) -> tuple:
+        """Path, size and time of every file of the tables, so a replaced table is seen."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = []
+        for name in SCHEMAS:
+            path = jvm.org.apache.hadoop.fs.Path(root, f"{name}.parquet")
+            if files.exists(path):
+                found += [
+                    (f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files.listStatus(path)
+                ]
+        return tuple(found)
+
     def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Hands rows over through a table in the shared folder, written once per session.
+        """Hands rows over through a table in the shared folder, written once per state of the tables.
 
         Layers read each other's tables: a plan several steps need runs once, and a lost
         executor costs a re-read instead of a rebuild.
         """
-        key = (self.spark.sparkContext.applicationId, self.folder, self.reference_date, name)
+        key = (self.spark.sparkContext.applicationId, self.content, self.reference_date, name)
         if key not in _PUBLISHED:
             path, df = work_dir(self.spark, name), build()
             df.write.parquet(path)
@@ -109,13 +124,20 @@ class Star:
 
     def model(self, name: str, train: Callable[[], PipelineModel]) -> PipelineModel:
         """A trained model, saved in the shared folder once per session."""
-        key = (self.spark.sparkContext.applicationId, self.folder, self.reference_date, name)
+        key = (self.spark.sparkContext.applicationId, self.content, self.reference_date, name)
         if key not in _PUBLISHED:
             path = work_dir(self.spark, name)
             train().write().save(path)
             _PUBLISHED[key] = (path, None)
         return PipelineModel.load(_PUBLISHED[key][0])
 
+    @staticmethod
+    def clear(spark: SparkSession) -> None:
+        """Removes the published tables and models of the session, for its end."""
+        mine = [k for k in _PUBLISHED if k[0] == spark.sparkContext.applicationId]
+        for key in mine:
+            remove_folder(spark, _PUBLISHED.pop(key)[0])
+
     # ---- raw feeds ---------------------------------------------------------------
 
     @cached_property
@@ -196,7 +218,7 @@ class Star:
             F.lit("0001").alias("LGORT"),
             code.alias("BWART"),
             (F.col("l_quantity") * F.when(number == 1, 8).otherwise(1)).alias("MENGE"),
-            F.lit("EA").alias("MEINS"),
+            F.when((F.col("l_partkey") % 10 == 3) & (number == 4), "KG").otherwise("EA").alias("MEINS"),
             day.alias("BUDAT"),
             day.alias("CPUDT"),
             (
@@ -271,10 +293,10 @@ class Star:
         )
 
     @cached_property
-    def brands(self) -> DataFrame:
-        """Material to brand, in registry form: series by brand are long enough to forecast."""
+    def kinds(self) -> DataFrame:
+        """Material to material type, in registry form: such series hold a year of days with sales."""
         return self.materials.select(
-            F.col("MATNR").alias("sap_material_number"), F.col("MATKL").alias("unified_sku_id")
+            F.col("MATNR").alias("sap_material_number"), F.col("MTART").alias("unified_sku_id")
         )
 
     # ---- gold and features ---------------------------------------------------------
@@ -344,26 +366,51 @@ class Star:
 
     @cached_property
     def series(self) -> DataFrame:
-        """Daily demand by site and brand."""
+        """Daily demand by site and material type."""
         return self.published("daily_demand", self.build_series)
 
     def build_series(self) -> DataFrame:
-        return demand_ops.daily_demand(self.movements, self.reference_date, self.brands)
+        return demand_ops.daily_demand(self.movements, self.reference_date, self.kinds)
 
     @cached_property
     def series_stock(self) -> DataFrame:
         rollup = self.published(
-            "brand_rollup",
-            lambda: gold.movement_rollup(self.movements, self.reference_date, self.brands),
+            "kind_rollup",
+            lambda: gold.movement_rollup(self.movements, self.reference_date, self.kinds),
         )
         return feature_ops.stock_features(gold.positions_of(rollup), gold.velocity_of(rollup))
 
+    @cached_property
+    def kind_categories(self) -> DataFrame:
+        """Every SKU and every material type that moved at a site, under its material type."""
+        moved = self.movements.select("WERKS", "MATNR").distinct().join(
+            self.kinds.select(F.col("sap_material_number").alias("MATNR"), F.col("unified_sku_id").alias("category")),
+            "MATNR",
+        )
+        names = self.registry.select(F.col("sap_material_number").alias("MATNR"), "unified_sku_id")
+        by_sku = moved.join(names, "MATNR").select(F.col("WERKS").alias("werks"), "unified_sku_id", "category")
+        by_kind = moved.select(F.col("WERKS").alias("werks"), F.col("category").alias("unified_sku_id"), "category")
+        return by_sku.unionByName(by_kind).distinct()
+
+    @cached_property
+    def kind_forecasts(self) -> DataFrame:
+        """Last month's sales of a material type spread over the horizons."""
+        rollup = self.published(
+            "kind_rollup", lambda: gold.movement_rollup(self.movements, self.reference_date, self.kinds)
+        )
+        month = F.col("sales_28d").cast("double")
+        return demand_ops.clip_forecasts(
+            feature_ops.sales_per_key(gold.velocity_of(rollup)).select(
+                *KEYS, *[(month * h / 28).alias(f"raw_{h}d") for h in config.HORIZONS]
+            )
+        )
+
     @cached_property
     def given_forecasts(self) -> DataFrame:
         """Last month's sales spread over the horizons, for the steps after the model."""
         month = F.col("sales_28d").cast("double")
         return demand_ops.clip_forecasts(
-            self.velocity.select(
+            feature_ops.sales_per_key(self.velocity).select(
                 *KEYS, *[(month * h / 28).alias(f"raw_{h}d") for h in config.HORIZONS]
             )
         )
@@ -541,12 +588,17 @@ class Star:
         return ordering.po_candidates(self.stored_recommendations)
 
     def responses(self, rows: DataFrame) -> DataFrame:
-        """A response per order: numbers under three names, and errors for small costs."""
+        """A response per order: numbers under three names, refusals, and answers that are
+        missing, empty or not readable."""
         number = F.concat(F.lit("45"), F.substring(F.col("unified_sku_id"), -8, 8))
         failed = F.col("recommended_qty") % 10 == 9
+        odd = F.col("recommended_qty") % 50
         ok = F.lit('"RETURN":[{"TYPE":"S","MESSAGE":"created"}]}')
         body = (
-            F.when(
+            F.when(odd == 18, F.lit(None).cast("string"))
+            .when(odd == 28, "<html>busy</html>")
+            .when(odd == 38, "")
+            .when(
                 failed,
                 F.lit('{"RETURN":[{"TYPE":"W","MESSAGE":"late"},{"TYPE":"E","MESSAGE":"refused"}]}'),
             )
@@ -593,7 +645,10 @@ class Star:
 
     @cached_property
     def decisions(self) -> DataFrame:
-        """Approvals of cheap rows, rejections of far-off ones, and a later second look."""
+        """Approvals of cheap rows, rejections of far-off ones, and a later second look.
+
+        Some cheap rows were also rejected at the very time they were approved.
+        """
         escalated = self.stored_queue.filter(F.col("sweeper_action") == "ESCALATE")
         value, off = F.col("order_value"), F.col("quantity_deviation_pct")
 
@@ -613,6 +668,12 @@ class Star:
             decision(
                 escalated.filter(value < 400), "APPROVED", "M1", "1999-06-30 08:06:00", "ok", half
             )
+            .unionByName(
+                decision(
+                    escalated.filter((value < 400) & (F.col("recommended_qty") % 3 == 0)),
+                    "REJECTED", "M0", "1999-06-30 08:06:00", None, none,
+                )
+            )
             .unionByName(
                 decision(
                     escalated.filter(off > 0.75), "REJECTED", "M2", "1999-06-30 08:07:00", None, none

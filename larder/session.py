@@ -26,6 +26,11 @@ def build_session(app: str = "larder", master: str | None = None, **settings: st
     return builder.getOrCreate()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 

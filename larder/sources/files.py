@@ -8,18 +8,31 @@ from pyspark.sql import functions as F
 from larder.functions.grouping import latest_per_key
 
 TEXT_SUFFIXES = ("md", "txt")
+_ANY_CASE = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in s) for s in TEXT_SUFFIXES) + "}"
 
 
 def text_file_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Markdown and plain-text files below ``folder``, one row per file with its whole text."""
+    """Markdown and plain-text files below ``folder``, one row per file with its whole text.
+
+    The case of the suffix does not matter; ``other_files`` names what is left out.
+    """
     return (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{" + ",".join(TEXT_SUFFIXES) + "}")
+        .option("pathGlobFilter", _ANY_CASE)
         .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     )
 
 
+def other_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths below ``folder`` whose type ``text_file_scan`` does not read."""
+    kind = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        .select("path").filter(~kind.isin(*TEXT_SUFFIXES))
+    )
+
+
 def changed_documents(
     docs: DataFrame, manifest: DataFrame, key: str = "path", text: str = "text"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.session import work_dir
+from larder.session import remove_folder, work_dir
 
 
 class DuplicateKeyError(ValueError):
@@ -59,6 +59,7 @@ def publish_features(
     if doubled:
         raise DuplicateKeyError(f"{target}: key {tuple(keys)} is not unique, e.g. {doubled}")
     publish_overwrite(staged, target, clock)
+    remove_folder(spark, staged_at)
 
 
 def publish_append(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,18 +11,34 @@ from pyspark.sql.types import StructType
 FILES_PER_BATCH = 10_000
 
 
+def grown_schema(spark: SparkSession, path: str, known: StructType | None = None) -> StructType:
+    """The known columns, then those the files below ``path`` have gained since."""
+    try:
+        present = spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException:  # nothing has landed yet
+        if known is None:
+            raise
+        return known
+    fields = list(known.fields) if known is not None else []
+    names = {f.name.lower() for f in fields}
+    return StructType(fields + [f for f in present.fields if f.name.lower() not in names])
+
+
 def read_feed_stream(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | None = None,
     files: str | None = None,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """Parquet file stream with a fixed schema and the file metadata column.
+    """Parquet file stream and the file metadata column.
 
-    ``files`` is an optional glob on file names. A backlog is drained in batches of at most
-    ``files_per_batch`` files, each committed on its own.
+    ``path`` is a folder of files, or a table ``*.parquet``, which may also be one file. Without a schema the present columns of all
+    files are taken; give ``grown_schema`` of a feed to also keep columns it gained. Files
+    without a column read NULL. ``files`` is an optional glob on file names. A backlog is
+    drained in batches of at most ``files_per_batch`` files, each committed on its own.
     """
+    schema = grown_schema(spark, path) if schema is None else schema
     reader = (
         spark.readStream.format("parquet")
         .schema(schema)
@@ -29,7 +46,9 @@ def read_feed_stream(
     )
     if files is not None:
         reader = reader.option("pathGlobFilter", files)
-    return reader.load(path).select("*", "_metadata")
+    # A pattern may name a file or a folder; a plain path would have to be a folder.
+    one_table = f"{path[:-1]}[{path[-1]}]" if path.endswith(".parquet") else path
+    return reader.load(one_table).select("*", "_metadata")
 
 
 def with_audit_columns(df: DataFrame) -> DataFrame:

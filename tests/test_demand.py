@@ -96,6 +96,8 @@ def test_forecast_error(rows):
         (14, 5.0, None, False),
         (28, 50.0, 1.0, False),
     ]
+    unsold = demand.forecast_error(rows(FORECAST, ("1", "B", 100.0, 0.0, 0.0)), actuals).first()
+    assert (unsold.mae, unsold.passes) == (100.0, False)
 
 
 def test_short_history_takes_category_median(rows):

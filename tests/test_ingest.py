@@ -47,6 +47,19 @@ def test_second_run_adds_nothing_and_new_files_are_found(rows, spark):
     assert got.schema["MENGE"].dataType.simpleString() == "decimal(13,3)"
 
 
+def test_a_new_column_arrives_on_the_stream(rows, spark):
+    base, feed = work_dir(spark, "grown"), FEEDS["inventory"]
+    old = inventory(rows, "1", "2")
+    for landed in (old, inventory(rows, "3").withColumn("CHARG", F.lit("B7"))):
+        landed.write.mode("append").parquet(f"{base}/landing")
+        schema = bronze.grown_schema(spark, f"{base}/landing", feed.schema)
+        stream = bronze.read_feed_stream(spark, f"{base}/landing", schema)
+        bronze.append_available(bronze.with_audit_columns(stream), f"{base}/table", f"{base}/state")
+    got = bronze.read_evolved(spark, f"{base}/table").select("MBLNR", "CHARG").collect()
+    assert sorted((r.MBLNR, r.CHARG) for r in got) == [("1", None), ("2", None), ("3", "B7")]
+    assert bronze.grown_schema(spark, f"{base}/nothing", feed.schema) == feed.schema
+
+
 def test_backlog_is_drained_in_batches(rows, spark):
     base, feed = work_dir(spark, "backlog"), FEEDS["inventory"]
     inventory(rows, *"abcdefgh").repartition(4).write.parquet(f"{base}/landing")
@@ -121,10 +134,15 @@ def test_text_files_and_changes(rows, spark, tmp_path):
     (tmp_path / "a.md").write_text("# one\nline\n", encoding="utf-8")
     (tmp_path / "deep" / "b.txt").write_text("zwei é", encoding="utf-8")
     (tmp_path / "c.pdf").write_text("no", encoding="utf-8")
+    (tmp_path / "D.TXT").write_text("loud", encoding="utf-8")
+    (tmp_path / "plain").write_text("no suffix", encoding="utf-8")
+    left = {r.path.rsplit("/", 1)[1] for r in files.other_files(spark, str(tmp_path)).collect()}
+    assert left == {"c.pdf", "plain"}
     docs = files.text_file_scan(spark, str(tmp_path))
     docs = docs.withColumn("path", F.regexp_extract("path", "([^/]+)$", 1))
     got = {r.path: r.text for r in docs.collect()}
-    assert got == {"a.md": "# one\nline\n", "b.txt": "zwei é"}
+    assert got == {"a.md": "# one\nline\n", "b.txt": "zwei é", "D.TXT": "loud"}
+    docs = docs.filter("path != 'D.TXT'")
 
     empty = rows("path string, hash string, processed_at string")
     first = files.changed_documents(docs, empty)

@@ -142,14 +142,16 @@ def test_cap_and_requests(rows):
 def test_batched_requests_hold_every_line(rows):
     data = [("1", f"S{i:03d}", i + 1, "V1" if i % 3 else None) for i in range(90)]
     frame = rows(KEY + ", recommended_qty int, vendor_id string", *data)
-    got = ordering.po_requests_batched(frame, F.lit(date(2024, 1, 5)), 25).collect()
+    got = ordering.po_requests_batched(frame, F.lit(date(2024, 1, 5))).orderBy("section_no").collect()
     lines = {}
-    for r in got:
-        body = json.loads(r.payload)
-        assert body["POPARTNER"] == [{"LANGU": "EN", "BUSN_PARTNR": r.vendor_id, "PART_ROLE": "LF"}]
-        assert [i["PO_ITEM"] for i in body["POITEM"]] == [f"{n:05d}" for n in range(1, r.n_lines + 1)]
-        assert {i["DELIV_DATE"] for i in body["POITEM"]} == {"20240105"}
-        lines.setdefault(r.vendor_id, []).extend(i["MATERIAL"] for i in body["POITEM"])
+    for vendor in ("V1", "UNKNOWN"):
+        own = [(r.section, json.loads(r.payload)) for r in got if r.vendor_id == vendor]
+        assert own[0] == ("POHEADER", {"DOC_TYPE": "NB", "CREAT_DATE": ""})
+        assert own[1] == ("POPARTNER", {"LANGU": "EN", "BUSN_PARTNR": vendor, "PART_ROLE": "LF"})
+        items = [body for section, body in own[2:] if section == "POITEM"]
+        assert [i["PO_ITEM"] for i in items] == [f"{n:05d}" for n in range(1, len(own) - 1)]
+        assert {i["DELIV_DATE"] for i in items} == {"20240105"}
+        lines[vendor] = [i["MATERIAL"] for i in items]
     assert {v: len(m) for v, m in lines.items()} == {"V1": 60, "UNKNOWN": 30}
     assert sorted(lines["V1"] + lines["UNKNOWN"]) == sorted(d[1] for d in data)
 
@@ -162,6 +164,11 @@ def test_batched_requests_hold_every_line(rows):
         ('{"PO_NUMBER":"47"}', "47", True, []),
         ('{"MATERIALDOCUMENT":"49","MATDOCUMENTYEAR":"2026","RETURN":[{"TYPE":"S","MESSAGE":"posted"}]}', "49", True, ["posted"]),
         ('{"RETURN":[{"TYPE":"W"},{"TYPE":"E","MESSAGE":"no"}]}', "", False, ["", "no"]),
+        ("", "", True, []),
+        (None, "", False, ["no answer"]),
+        ("<html>busy</html>", "", False, ["unreadable answer"]),
+        ('{"PO_NUMBER":', "", False, ["unreadable answer"]),
+        ("[1]", "", False, ["unreadable answer"]),
     ],
 )
 def test_confirmations(rows, body, number, success, messages):

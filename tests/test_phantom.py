@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from larder.operators.ordering import po_confirmations
 from larder import config
 from larder.operators import phantom
 
@@ -151,16 +152,15 @@ def test_goods_movement_request(rows):
     assert json.loads(got.first().payload) == {"WERKS": "1", "MATNR": "S", "BWART": "562", "MENGE": 0.0}
 
 
-def test_goods_movement_documents_split_without_loss(rows):
+def test_goods_movement_documents_hold_every_item(rows):
     items = rows(
         KEY + ", storage_location string, movement_type string, quantity double",
         *[("1", f"S{i:02d}", "0001", "562", float(i)) for i in range(25)],
     )
-    got = phantom.goods_movement_documents(items, "20240101", 10).orderBy("document").collect()
-    assert [r.n_items for r in got] == [10, 10, 5]
-    materials = [i["MATERIAL"] for r in got for i in json.loads(r.payload)["GOODSMVT_ITEM"]]
-    assert materials == [f"S{i:02d}" for i in range(25)]
-    assert json.loads(got[0].payload)["GOODSMVT_HEADER"] == {"PSTNG_DATE": "20240101", "DOC_DATE": "20240101"}
+    got = phantom.goods_movement_documents(items, "20240101").orderBy("section_no").collect()
+    assert [r.section for r in got] == ["GOODSMVT_HEADER", "GOODSMVT_CODE"] + ["GOODSMVT_ITEM"] * 25
+    assert [json.loads(r.payload)["MATERIAL"] for r in got[2:]] == [f"S{i:02d}" for i in range(25)]
+    assert json.loads(got[0].payload) == {"PSTNG_DATE": "20240101", "DOC_DATE": "20240101"}
 
 
 def test_writeback_audit(rows):
@@ -172,9 +172,14 @@ def test_writeback_audit(rows):
     got = {r.unified_sku_id: (r.status, r.message) for r in audit.collect()}
     assert got == {"A": ("ok", None), "B": ("error", "locked"), "C": ("error", "no confirmation")}
     assert tuple(phantom.writeback_metrics(audit).first()) == (3, 2)
+    answers = po_confirmations(rows(KEY + ", response string", ("1", "A", ""), ("1", "B", "busy"), ("1", "C", None)))
+    audit = phantom.writeback_audit(requests, answers)
+    got = {r.unified_sku_id: (r.status, r.message) for r in audit.collect()}
+    assert got == {"A": ("ok", None), "B": ("error", "unreadable answer"), "C": ("error", "no answer")}
 
 
 def test_backtest_without_flags_does_not_pass(rows):
-    scores = rows(KEY + ", is_phantom boolean", ("1", "A", False))
-    got = phantom.backtest_precision(scores, rows(KEY + ", is_phantom int", ("1", "A", 1))).first()
+    scores = rows(KEY + ", label_date int, is_phantom boolean", ("1", "A", 1, False), ("1", "A", 2, True))
+    labels = rows(KEY + ", label_date int, is_phantom int", ("1", "A", 1, 1))
+    got = phantom.backtest_precision(scores, labels).first()
     assert (got.precision, got.passes) == (None, False)

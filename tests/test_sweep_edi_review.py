@@ -132,6 +132,11 @@ def test_review_flow(rows):
     assert [r.status for r in review.list_exceptions(current, "BLOCKED").collect()] == ["BLOCKED"]
     assert review.list_exceptions(current, "APPROVED").count() == 1
 
+    same = log.filter("unified_sku_id = 'A'").withColumn("decision_timestamp", F.lit(datetime(2024, 1, 1, 9)))
+    for turned in (same, same.orderBy(F.col("manager_decision").desc())):
+        tied = {r.unified_sku_id: r for r in review.apply_decisions(queue, turned.repartition(1)).collect()}
+        assert (tied["A"].manager_decision, tied["A"].manager_id, tied["A"].override_qty) == ("REJECTED", "M2", 50)
+
     first_poll = review.list_exceptions(queue).limit(1)
     news = review.new_since_poll(review.list_exceptions(queue), first_poll).collect()
     assert [r.unified_sku_id for r in news] == ["A"]
