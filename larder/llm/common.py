@@ -13,6 +13,9 @@ from pyspark.sql.types import StructField, StructType
 from larder.session import work_dir
 
 SLICE_ROWS = 256
+# Texts can be long, so the batches that Python tasks get are short, unless the session says otherwise.
+BATCH_ROWS = 512
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -22,6 +25,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """The same rows; sets the batch length of the session where it is still the default."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Short slices, so that long texts are held as Python objects for few rows at a time."""
     for batch in batches:
@@ -35,26 +46,32 @@ def with_struct(
     into: str,
     result: StructType,
     function: Callable[..., list[dict | None]],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds the struct column ``into``, made by ``function`` from lists of the input columns.
 
-    All other columns pass through unread; a column already named ``into`` is replaced.
+    All other columns, or those in ``keep``, pass through unread; a column already named
+    ``into`` is replaced.
     """
     rest = df.drop(into)
     names = rest.columns
-    read = [f"_in{i}" for i in range(len(inputs))]
-    given = rest.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
-        *[F.col(f"`{c}`").alias(r) for c, r in zip(inputs, read)],
-    )
-    schema = StructType([StructField("_row", given.schema["_row"].dataType), StructField("_out", result)])
-    wanted = _arrow_struct(result)
+    given = short_batches(rest.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")))
+    row_type = given.schema["_row"].dataType
+    if keep is not None:
+        names = list(keep)
+        row_type = StructType([row_type[c] for c in names])
+    schema = StructType([StructField("_row", row_type, False), StructField("_out", result)])
+    wanted, row_fields = _arrow_struct(result), list(_arrow_struct(row_type))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            lists = [part.column(r).to_pylist() for r in read]
-            made = pa.array(function(*lists), type=wanted)
-            yield pa.RecordBatch.from_arrays([part.column("_row"), made], ["_row", "_out"])
+            rows = part.column("_row")
+            made = pa.array(function(*[rows.field(c).to_pylist() for c in inputs]), type=wanted)
+            if keep is None:
+                kept = rows
+            else:
+                kept = pa.StructArray.from_arrays([rows.field(c) for c in names], fields=row_fields)
+            yield pa.RecordBatch.from_arrays([kept, made], ["_row", "_out"])
 
     out = given.mapInArrow(run, schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in names], F.col("_out").alias(into))

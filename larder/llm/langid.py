@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from larder.llm.common import slices, stored, with_struct
+from larder.llm.common import short_batches, slices, stored, with_struct
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -61,7 +61,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
                 counts = {}
         yield from out(counts)
 
-    return labelled.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(
+    return short_batches(labelled).mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(
         F.sum("n").alias("n")
     )
 
@@ -174,7 +174,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             )
             for k in range(1, LONGEST + 1)
         ]))).alias("gram"),
-    ).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    ).filter(~F.col("gram").isin("<", ">")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = stored(grams, "grams")
     words = [tuple(r) for r in _most_frequent(counts, "word", MOST_WORDS).collect()]
     kept = [tuple(r) for r in _most_frequent(grams, "gram", MOST_GRAMS).collect()]
@@ -184,18 +184,20 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 RESULT = StructType([StructField("lang", StringType()), StructField("score", DoubleType())])
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
+def identify(
+    df: DataFrame, model: Model, text: str = "text", into: str = "language", keep: list[str] | None = None
+) -> DataFrame:
     """Adds the struct ``into``: lang and score (0 to 1, the share of the best language).
 
     Null texts and texts without a letter get "und" and 0; so do all texts if the model saw
     no language. A text of which the model knows no word and no n-gram has score 0. Equal scores go to the first language by name. Other columns and repeated
-    rows stay; an existing column ``into`` is replaced.
+    rows stay (``keep`` names fewer columns); an existing column ``into`` is replaced.
     """
     def score(texts: list) -> list[dict]:
         scorer = _scorer(model)
         return [scorer(t) for t in texts]
 
-    return with_struct(df, [text], into, RESULT, score)
+    return with_struct(df, [text], into, RESULT, score, keep)
 
 
 _SCORERS: dict[int, Scorer] = {}

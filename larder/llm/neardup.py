@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import Groups, cells, components, mix, runs, slices, stored
+from larder.llm.common import Groups, cells, components, mix, runs, short_batches, slices, stored
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -136,7 +136,7 @@ def signatures(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
             )
 
     given = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    return given.mapInArrow(run, "id long, n long, class binary, regs binary")
+    return short_batches(given).mapInArrow(run, "id long, n long, class binary, regs binary")
 
 
 def _matrix(column) -> np.ndarray:

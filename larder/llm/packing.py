@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.grouping import numbered_within
-from larder.llm.common import slices, stored
+from larder.llm.common import short_batches, slices, stored
 
 TOKENIZER = "word_bpe_49k.json"
 MOST_PATTERNS = 16_384
@@ -212,7 +212,7 @@ def pieces(
             )
 
     ddl = f"key {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return given.mapInArrow(run, ddl).withColumnRenamed("key", key)
+    return short_batches(given).mapInArrow(run, ddl).withColumnRenamed("key", key)
 
 
 def pack(

@@ -147,13 +147,15 @@ def find(text: str | None) -> list[dict]:
     return [{"kind": k, "start": s, "end": e, "base": b, "score": c} for s, _, k, e, b, c in sorted(spans)]
 
 
-def find_spans(df: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
+def find_spans(
+    df: DataFrame, text: str = "text", into: str = "pii", keep: list[str] | None = None
+) -> DataFrame:
     """Adds the struct ``into`` with spans: array of kind, start, end, base, score.
 
     Null and empty texts have none. Rows, also repeated ones, and other columns stay as
-    they are; an existing column ``into`` is replaced.
+    they are (``keep`` names fewer columns); an existing column ``into`` is replaced.
     """
-    return with_struct(df, [text], into, RESULT, lambda texts: [{"spans": find(t)} for t in texts])
+    return with_struct(df, [text], into, RESULT, lambda texts: [{"spans": find(t)} for t in texts], keep)
 
 
 def spans_text(spans: Column) -> Column:

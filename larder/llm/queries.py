@@ -49,7 +49,8 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
-    spans = pii.find_spans(_table(spark, folder, "documents").select("doc_id", "text"), into="found").select(
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    spans = pii.find_spans(docs, into="found", keep=["doc_id"]).select(
         "doc_id", F.col("found.spans").alias("spans")
     )
     base = F.filter("spans", lambda s: s["base"])
@@ -74,7 +75,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     usable = labels.filter(~held_out & F.col("label").isNotNull()).dropDuplicates(["doc_id"])
     chosen = toxicity.sample(usable, "doc_id")
     labelled = docs.join(F.broadcast(chosen), "doc_id").withColumnRenamed("doc_id", "key")
-    scored = toxicity.score(docs, toxicity.fit(labelled), into="score")
+    scored = toxicity.score(docs, toxicity.fit(labelled), into="score", keep=["doc_id"])
     return scored.select(
         "doc_id",
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
@@ -103,7 +104,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     model = langid.fit(docs.filter(~held_out))
-    found = langid.identify(docs.select("doc_id", "text"), model)
+    found = langid.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return found.select(
         "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
     )

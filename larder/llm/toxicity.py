@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from larder.llm.common import slices, stored, with_struct
+from larder.llm.common import short_batches, slices, stored, with_struct
 
 # Bounds of the fit: labelled rows and lexicon entries.
 MOST_ROWS = 40_000
@@ -44,6 +44,10 @@ _WORD = re.compile(r"\w+(?:[@$!|*.'-]+\w+)*")
 _CACHE = 200_000
 _LONG = 40
 FEATURES = 16
+STRONG = 3.0
+# Capital letters and punctuation among the first 256 code points.
+_CAPITALS = [c for c in range(256) if chr(c).isupper()]
+_MARKS = [ord(c) for c in "?.,;:*%&#$"]
 
 
 def entries_of(word: str) -> list[str]:
@@ -68,7 +72,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
                  pa.array([counts[0][e] for e in every], pa.int64())], schema=schema,
             )
 
-    seen = labelled.mapInArrow(run, "entry string, toxic long, clean long").groupBy("entry").agg(
+    seen = short_batches(labelled).mapInArrow(run, "entry string, toxic long, clean long").groupBy("entry").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     ).filter(F.col("toxic") >= LEAST_TOXIC)
     n = labelled.agg(F.sum(F.col("label")), F.count(F.lit(1))).first()
@@ -101,36 +105,41 @@ class Features:
         if not n:
             return [0.0] * FEATURES
         words = [w.lower() for w in raw]
-        weights = [self.weight(w) for w in words]
-        hits = [i for i, w in enumerate(weights) if w > 0]
-        persons = [i for i, w in enumerate(words) if w in SECOND_PERSON]
+        get = self.known.get
+        weights = [get(w) for w in words]
+        if None in weights:
+            weights = [self.weight(w) if x is None else x for w, x in zip(words, weights)]
+        hits = [i for i, w in enumerate(weights) if w]
+        found = sorted((weights[i] for i in hits), reverse=True)
+        strong = sum(w > STRONG for w in found)
+        persons = [] if SECOND_PERSON.isdisjoint(words) else [i for i, w in enumerate(words) if w in SECOND_PERSON]
         near = 0
         if hits and persons:
             at = np.searchsorted(persons, hits)
             p = np.array([-(10**9), *persons, 10**9])
             near = int((np.minimum(np.abs(p[at] - hits), np.abs(p[at + 1] - hits)) <= NEAR).sum())
-        odd = [w for w in words if not w.isalpha()]
+        odd = [] if all(map(str.isalpha, words)) else [w for w in words if not w.isalpha()]
         hidden = sum(
             1 for w in odd
             if self.weight(re.sub(r"[^\w]|_", "", w.translate(PLAIN))) > 0 and self.weight(w) == 0
         )
         length = len(text)
-        upper = sum(map(str.isupper, raw))
-        strong = sorted(weights, reverse=True)[:3]
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        seen = np.bincount(np.minimum(codes, 256), minlength=257)
         return [
             len(hits) / n,
-            sum(weights) / n,
-            strong[0],
-            sum(strong),
+            sum(found) / n,
+            found[0] if found else 0.0,
+            sum(found[:3]),
             math.log1p(len(hits)),
-            float(sum(w > 3.0 for w in weights)) / n,
-            math.log1p(sum(w > 3.0 for w in weights)),
+            strong / n,
+            math.log1p(strong),
             near / n,
             len(persons) / n,
-            sum(1 for c in text if c.isupper()) / length,
-            upper / n,
-            text.count("!") / length,
-            sum(map(text.count, "?.,;:*%&#$")) / length,
+            float(seen[_CAPITALS].sum()) / length,
+            sum(map(str.isupper, raw)) / n,
+            float(seen[ord("!")]) / length,
+            float(seen[_MARKS].sum()) / length,
             sum(any(map(str.isalpha, w)) for w in odd) / n,
             hidden / n,
             math.log1p(n),
@@ -140,12 +149,14 @@ class Features:
 VECTOR = StructType([StructField("features", ArrayType(DoubleType()))])
 
 
-def with_features(df: DataFrame, lexicon: dict[str, float], text: str, into: str) -> DataFrame:
+def with_features(
+    df: DataFrame, lexicon: dict[str, float], text: str, into: str, keep: list[str] | None = None
+) -> DataFrame:
     def run(texts: list) -> list[dict]:
         features = Features(lexicon)
         return [{"features": features(t)} for t in texts]
 
-    return with_struct(df, [text], into, VECTOR, run)
+    return with_struct(df, [text], into, VECTOR, run, keep)
 
 
 @dataclass
@@ -179,7 +190,7 @@ def fit(labelled: DataFrame) -> Model:
     if not bad or bad == every:
         return Model({}, None, None, bad / every if every else 0.0)
     lexicon = learn_lexicon(fitted)
-    table = stored(with_features(rows, lexicon, "text", "made").select("key", "label", "made.features"), "features")
+    table = stored(with_features(rows, lexicon, "text", "made", ["key", "label"]).select("key", "label", "made.features"), "features")
     vectors = table.withColumn("features", array_to_vector("features"))
     grower = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=SEED
@@ -192,18 +203,20 @@ def fit(labelled: DataFrame) -> Model:
     return Model(lexicon, trees, calibration, bad / every)
 
 
-def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
+def score(
+    df: DataFrame, model: Model, text: str = "text", into: str = "toxicity", keep: list[str] | None = None
+) -> DataFrame:
     """Adds the double ``into``, 0 to 1, from the text alone.
 
     Null and empty texts have all features 0 and are scored like any other. Rows, also
-    repeated ones, and other columns stay; an existing column ``into`` is replaced.
+    repeated ones, and other columns stay (``keep`` names fewer); an existing column ``into`` is replaced.
     """
     rest = df.drop(into)
+    names = list(keep) if keep is not None else rest.columns
     if model.trees is None:
-        return rest.withColumn(into, F.lit(float(model.share)))
-    names = rest.columns
+        return rest.select(*[F.col(f"`{c}`") for c in names]).withColumn(into, F.lit(float(model.share)))
     packed = rest.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    made = with_features(packed, model.lexicon, "_text", "_made").select(
+    made = with_features(packed, model.lexicon, "_text", "_made", ["_row"]).select(
         "_row", array_to_vector("_made.features").alias("features")
     )
     raw = model.trees.transform(made).select("_row", vector_to_array("probability")[1].alias("raw"))
