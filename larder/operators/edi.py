@@ -137,17 +137,29 @@ def edi_documents(
     )
 
 
+_ORDER = ("vendor_id", "edi_file", "segment_no")
+
+
 def edi_sink(documents: DataFrame, folder: str) -> None:
-    """Writes the documents as text below ``folder``, as ``vendor_id=.../edi_file=...``.
+    """Writes all documents as one table, ranged and sorted by vendor, file and segment.
+
+    The number of files follows the data, not the number of vendors, and a large document
+    spans several of them. ``edi_hand_over`` makes the files of a vendor from it.
+    """
+    documents.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER).write.mode("overwrite").parquet(folder)
+
+
+def edi_hand_over(documents: DataFrame, folder: str) -> None:
+    """Writes documents as text below ``folder``, as ``vendor_id=.../edi_file=...``.
 
-    The vendor is part of the path because vendors may share a first order number and with
-    it a file name. Rows are ranged by vendor and segment: a large document spans several
-    part files whose names sort in segment order, so their concatenation is the document.
+    Meant for the vendors of one transfer: the commit of the folders takes time with their
+    number. The vendor is part of the path because vendors may share a first order number
+    and with it a file name. A large document spans several part files whose names sort in
+    segment order, so their concatenation is the document.
     """
-    order = ["vendor_id", "edi_file", "segment_no"]
     (
-        documents.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        documents.repartitionByRange(*_ORDER)
+        .sortWithinPartitions(*_ORDER)
         .select("vendor_id", "edi_file", F.col("segment").alias("value"))
         .write.mode("overwrite")
         .partitionBy("vendor_id", "edi_file")

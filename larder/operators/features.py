@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,17 +14,19 @@ from larder.functions.quantities import QUANTITY, guarded_ratio
 KEYS = list(config.KEYS)
 
 
-def sales_per_key(velocity: DataFrame) -> DataFrame:
-    """One row per site and SKU: sales of several units are added up, the first unit is named."""
+def sales_per_key(
+    velocity: DataFrame, windows: Sequence[int] = config.SALES_WINDOWS, unit: bool = False
+) -> DataFrame:
+    """One row per site and SKU: sales of several units are added up, the first unit may be named."""
     return velocity.groupBy(*KEYS).agg(
-        *[F.sum(f"sales_{n}d").alias(f"sales_{n}d") for n in config.SALES_WINDOWS],
-        F.min("uom").alias("uom"),
+        *[F.sum(f"sales_{n}d").cast(QUANTITY).alias(f"sales_{n}d") for n in windows],
+        *([F.min("uom").alias("uom")] if unit else []),
     )
 
 
 def velocity_features(velocity: DataFrame) -> DataFrame:
     """Sales windows per site and SKU in their canonical types."""
-    return sales_per_key(velocity).select(
+    return sales_per_key(velocity, unit=True).select(
         *KEYS,
         *[F.col(f"sales_{n}d").cast(QUANTITY) for n in config.SALES_WINDOWS],
         "uom",
@@ -35,7 +38,7 @@ def stock_features(positions: DataFrame, velocity: DataFrame) -> DataFrame:
 
     Cover is NULL without sales in the week, and where it does not fit its type.
     """
-    week = velocity.groupBy(*KEYS).agg(F.sum("sales_7d").alias("sales_7d"))
+    week = sales_per_key(velocity, (7,))
     cover = guarded_ratio(F.col("stock_qty"), F.col("sales_7d") / 7).try_cast("decimal(8,2)")
     return positions.join(week, KEYS, "left").select(
         *KEYS,
@@ -60,8 +63,7 @@ def collapse_signals(
     """Signs of sales that stopped: week against month, days since the last sale."""
     ratio = guarded_ratio(F.col("sales_7d"), F.col("sales_28d")).cast("double")
     return (
-        velocity.groupBy(*KEYS)
-        .agg(*[F.sum(c).alias(c) for c in ("sales_7d", "sales_28d")])
+        sales_per_key(velocity, (7, 28))
         .withColumn("velocity_collapse_ratio", ratio)
         .join(last_sales.select(*KEYS, "days_since_last_sale"), KEYS, "left")
         .join(shelf_life_by_sku(registry), "unified_sku_id", "left")

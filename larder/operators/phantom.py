@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from larder import config
 from larder.functions.documents import document_sections
 from larder.functions.grouping import latest_per_key, numbered_within
-from larder.functions.quantities import sale_quantity, signed_quantity
+from larder.functions.quantities import QUANTITY, guarded_ratio, sale_quantity, signed_quantity
+from larder.operators.features import sales_per_key, shelf_life_by_sku
 from larder.operators.gold import attach_sku
 
 KEYS = list(config.KEYS)
@@ -51,28 +52,29 @@ def phantom_labels(
 ) -> DataFrame:
     """1 where stock is booked, sales stopped this week and ran before; unknown stock is 0."""
     day = F.current_date() if label_date is None else F.lit(label_date)
-    sales = velocity.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("sales_7d", "sales_28d")])
+    sales = sales_per_key(velocity, (7, 28))
     return positions.join(sales, KEYS, "inner").select(
         *KEYS, _is_phantom(limits).alias("is_phantom"), day.alias("label_date")
     )
 
 
-def label_replay(
+def replayed_days(
     movements: DataFrame,
     reference_date: dt.date,
     registry: DataFrame | None = None,
     limits: config.PhantomLimits = LIMITS,
 ) -> DataFrame:
-    """The label rule for each of the days up to the reference date.
+    """Stock, sales windows and last sale of every key on each of the days up to the reference date.
 
     A sale enters a window on its day and leaves it when the window has passed, so each
     movement becomes a few signed entries and running sums give stock and sales on every
-    day something changes. Between changes the label stands still and is repeated per day.
+    day something changes. Between changes the state stands still and is repeated per day.
     All older history is summed onto the first day, so a key holds at most one row per
     replayed day, whatever its volume.
     """
+    windows = config.SALES_WINDOWS
     first = reference_date - dt.timedelta(days=limits.replay_days - 1)
-    oldest = first - dt.timedelta(days=29)
+    oldest = first - dt.timedelta(days=max(windows) + 1)
     item = "unified_sku_id" if registry is None else "MATNR"
     per_day = (
         movements.filter(F.col("BUDAT") <= F.lit(reference_date))
@@ -82,32 +84,35 @@ def label_replay(
             F.sum(signed_quantity()).alias("net"),
             F.sum(sale_quantity()).alias("sold"),
             F.count_if(F.col("BWART").isin(config.SALE, config.SALE_RETURN)).alias("n_sales"),
+            F.max(F.when(F.col("BWART") == config.SALE, F.col("BUDAT"))).alias("last_sale"),
         )
     )
     none = F.lit(0)
 
-    def entry(after: int, net: Column, week: Column, month: Column, seen: Column) -> Column:
+    def entry(after: int) -> Column:
+        """What changes so many days after the movement: all of it at once, then one window ends."""
         day = F.greatest(F.date_add("_day", after), F.lit(first))
+        new = after == 0
+        change = {n: F.col("sold") if new else -F.col("sold") if after == n + 1 else none for n in windows}
         return F.struct(
             day.alias("day"),
-            net.cast("decimal(23,3)").alias("net"),
-            week.cast("decimal(23,3)").alias("week"),
-            month.cast("decimal(23,3)").alias("month"),
-            seen.cast("long").alias("seen"),
+            (F.col("net") if new else none).cast("decimal(23,3)").alias("net"),
+            *[c.cast("decimal(23,3)").alias(f"sales_{n}d") for n, c in change.items()],
+            (F.col("n_sales") if new else none).cast("long").alias("seen"),
+            (F.col("last_sale") if new else F.lit(None)).cast("date").alias("last_sale"),
         )
 
-    sold = F.col("sold")
-    entries = F.array(
-        entry(0, F.col("net"), sold, sold, F.col("n_sales")),
-        entry(8, none, -sold, none, none),
-        entry(29, none, none, -sold, none),
-    )
+    sums = ("net", *[f"sales_{n}d" for n in windows], "seen")
     changes = (
         attach_sku(per_day, registry)
-        .select(F.col("WERKS").alias("werks"), "unified_sku_id", F.explode(entries).alias("_e"))
+        .select(
+            F.col("WERKS").alias("werks"),
+            "unified_sku_id",
+            F.explode(F.array(entry(0), *[entry(n + 1) for n in windows])).alias("_e"),
+        )
         .filter(F.col("_e.day") <= F.lit(reference_date))
         .groupBy("werks", "unified_sku_id", F.col("_e.day").alias("day"))
-        .agg(*[F.sum(f"_e.{c}").alias(c) for c in ("net", "week", "month", "seen")])
+        .agg(*[F.sum(f"_e.{c}").alias(c) for c in sums], F.max("_e.last_sale").alias("last_sale"))
     )
     ordered = Window.partitionBy(*KEYS).orderBy("day")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -116,28 +121,60 @@ def label_replay(
     )
     states = changes.select(
         *KEYS,
-        F.sum("net").over(so_far).alias("stock_qty"),
-        F.sum("week").over(so_far).alias("sales_7d"),
-        F.sum("month").over(so_far).alias("sales_28d"),
-        F.sum("seen").over(so_far).alias("_seen"),
+        F.sum("net").over(so_far).cast(QUANTITY).alias("stock_qty"),
+        *[F.sum(f"sales_{n}d").over(so_far).cast(QUANTITY).alias(f"sales_{n}d") for n in windows],
+        F.sum("seen").over(so_far).alias("seen"),
+        F.max("last_sale").over(so_far).alias("last_sale"),
         F.col("day").alias("_from"),
         until.alias("_until"),
-    ).filter("_seen > 0")
-    return states.select(
+    ).filter("seen > 0")
+    return states.select("*", F.explode(F.sequence("_from", "_until")).alias("label_date")).drop(
+        "_from", "_until", "seen"
+    )
+
+
+def label_replay(
+    movements: DataFrame,
+    reference_date: dt.date,
+    registry: DataFrame | None = None,
+    limits: config.PhantomLimits = LIMITS,
+) -> DataFrame:
+    """The label rule for each of the days up to the reference date."""
+    return replayed_labels(replayed_days(movements, reference_date, registry, limits), limits)
+
+
+def replayed_labels(days: DataFrame, limits: config.PhantomLimits = LIMITS) -> DataFrame:
+    return days.select(*KEYS, _is_phantom(limits).alias("is_phantom"), "label_date")
+
+
+def replayed_features(days: DataFrame, registry: DataFrame) -> DataFrame:
+    """The model inputs of every key on each replayed day, from ``replayed_days``."""
+    cover = guarded_ratio(F.col("stock_qty"), F.col("sales_7d") / 7).try_cast("decimal(8,2)")
+    ratio = guarded_ratio(F.col("sales_7d"), F.col("sales_28d")).cast("double")
+    return days.join(shelf_life_by_sku(registry), "unified_sku_id", "left").select(
         *KEYS,
-        _is_phantom(limits).alias("is_phantom"),
-        F.explode(F.sequence("_from", "_until")).alias("label_date"),
+        "label_date",
+        *[f"sales_{n}d" for n in config.SALES_WINDOWS],
+        "stock_qty",
+        cover.alias("days_of_cover"),
+        ratio.alias("velocity_collapse_ratio"),
+        F.datediff("label_date", "last_sale").alias("days_since_last_sale"),
+        "shelf_life_days",
     )
 
 
 def training_set(
     labels: DataFrame, features: DataFrame, confident_skus: DataFrame | None = None
 ) -> DataFrame:
-    """Labels with features; optionally only SKUs in the given (distinct) list."""
-    labelled = labels.select(*KEYS, "is_phantom")
+    """Labels with features; optionally only SKUs in the given (distinct) list.
+
+    Features that carry a ``label_date`` meet the label of that day.
+    """
+    on = [*KEYS, "label_date"] if "label_date" in features.columns else KEYS
+    labelled = labels.select(*on, "is_phantom")
     if confident_skus is not None:
         labelled = labelled.join(confident_skus.select("unified_sku_id"), "unified_sku_id", "left_semi")
-    return labelled.join(features, KEYS, "inner")
+    return labelled.join(features, on, "inner")
 
 
 def model_inputs(features: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -531,7 +531,7 @@ def _(s: Star) -> DataFrame:
     return s.labels
 
 
-@query("label_replay", "SELECT * FROM replayed")
+@query("label_replay", "SELECT werks, unified_sku_id, is_phantom, label_date FROM replayed")
 def _(s: Star) -> DataFrame:
     return phantom.label_replay(s.movements, s.reference_date, s.registry)
 
@@ -554,9 +554,34 @@ def _(s: Star) -> DataFrame:
 
 
 def _phantom_rows(s: Star) -> DataFrame:
-    return s.published(
-        "phantom_training", lambda: phantom.training_set(s.labels, s.features, _confident(s))
+    """Labels and features of the replayed days."""
+    return s.published("phantom_training", lambda: _replayed_training(s))
+
+
+def _replayed_training(s: Star) -> DataFrame:
+    days = s.published(
+        "replayed_days", lambda: phantom.replayed_days(s.movements, s.reference_date, s.registry)
     )
+    return phantom.training_set(
+        phantom.replayed_labels(days), phantom.replayed_features(days, s.registry), _confident(s)
+    )
+
+
+oracle.VIEWS["replayed_training"] = f"""
+SELECT r.werks, r.unified_sku_id, label_date, is_phantom, sales_7d, sales_14d, sales_28d, sales_90d, stock_qty,
+  {oracle._cover('stock_qty', 'sales_7d')} AS days_of_cover,
+  CASE WHEN sales_28d<>0 THEN round(sales_7d::DOUBLE/sales_28d::DOUBLE,6)+0e0 END AS velocity_collapse_ratio,
+  date_diff('day', last_sale, label_date)::INT AS days_since_last_sale, g.shelf_life_days::INT AS shelf_life_days
+FROM replayed r JOIN registry g ON r.unified_sku_id=g.unified_sku_id WHERE match_confidence=1"""
+
+
+@query(
+    "training_set_replayed",
+    f"""SELECT label_date, {_VELOCITY_COLUMNS.replace(', uom', '')}, stock_qty::DOUBLE AS stock_qty, days_of_cover,
+        velocity_collapse_ratio, days_since_last_sale, shelf_life_days, is_phantom FROM replayed_training""",
+)
+def _(s: Star) -> DataFrame:
+    return rounded(plain(_replayed_training(s)), "velocity_collapse_ratio")
 
 
 def _phantom_model(s: Star):
@@ -566,8 +591,7 @@ def _phantom_model(s: Star):
 @query(
     "phantom_train",
     """SELECT count(*) AS n_rows, sum(is_phantom)::BIGINT AS n_phantom, true AS all_scored, true AS better_than_none
-       FROM feats f JOIN label_rows l ON f.werks=l.werks AND f.unified_sku_id=l.unified_sku_id
-       WHERE f.unified_sku_id IN (SELECT unified_sku_id FROM registry WHERE match_confidence=1)""",
+       FROM replayed_training""",
 )
 def _(s: Star) -> DataFrame:
     """Fit on the training rows: size, positives, and whether it errs less than the empty rule."""
@@ -1393,11 +1417,11 @@ def _(s: Star) -> DataFrame:
     return edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP, s.edi_files)
 
 
-@query("edi_sink", "SELECT vendor_id, edi_file, segment FROM edi_segments")
+@query("edi_sink", "SELECT * FROM edi_segments")
 def _(s: Star) -> DataFrame:
     folder = work_dir(s.spark, "edi")
     edi.edi_sink(edi.edi_documents(s.edi_lines, SENDER, EDI_TIMESTAMP, s.edi_files), folder)
-    return s.spark.read.text(folder).select("vendor_id", "edi_file", F.col("value").alias("segment"))
+    return s.spark.read.parquet(folder)
 
 
 # ---- review ------------------------------------------------------------------------------------------

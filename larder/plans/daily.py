@@ -118,19 +118,20 @@ def feature_vector(store: Store) -> DataFrame:
 def train_phantom(
     store: Store, reference_date: dt.date, trees: config.TreeSettings = config.PHANTOM_TREES
 ) -> None:
-    """Labels, then a model on the SKUs whose identity is certain; needs a ready registry."""
+    """Labels and features of the replayed days, then a model on the SKUs whose identity is
+    certain; needs a ready registry."""
     registry = store.read("silver/sku_registry")
     if not silver.registry_ready(registry).first()["is_ready"]:
         raise RuntimeError("the SKU registry is below its match rate; training waits")
-    labels = store.replace(
-        "gold/training_labels",
-        phantom.phantom_labels(
-            store.read("gold/daily_positions"), store.read("gold/velocity"), reference_date
-        ),
+    days = store.replace(
+        "gold/replayed_days",
+        phantom.replayed_days(store.read("silver/inventory_clean"), reference_date, registry),
     )
+    labels = store.replace("gold/training_labels", phantom.replayed_labels(days))
     confident = silver.confidence_filter(registry).select("unified_sku_id")
     training = store.replace(
-        "gold/phantom_training", phantom.training_set(labels, feature_vector(store), confident)
+        "gold/phantom_training",
+        phantom.training_set(labels, phantom.replayed_features(days, registry), confident),
     )
     model = phantom.phantom_train(training, trees)
     model.write().overwrite().save(store.path("models/phantom"))
@@ -174,6 +175,27 @@ def train_demand(
         model.write().overwrite().save(store.path(f"models/demand_{horizon}d"))
 
 
+def hold_out_demand(
+    store: Store,
+    reference_date: dt.date,
+    mapping: DataFrame | None = None,
+    min_days: int = config.TRAIN_MIN_DAYS,
+    trees: config.TreeSettings = config.DEMAND_TREES,
+) -> DataFrame:
+    """Error of the base forecast on the last four weeks, which its models have not seen."""
+    split = reference_date - dt.timedelta(days=max(config.HORIZONS))
+    names, moves = _mapping(store, mapping), store.read("silver/inventory_clean")
+    before = moves.filter(F.col("BUDAT") <= F.lit(split))
+    series = store.replace("demand/daily_before", demand.daily_demand(before, split, names))
+    rollup = store.replace("demand/rollup_before", gold.movement_rollup(before, split, names))
+    stock = features.stock_features(gold.positions_of(rollup), gold.velocity_of(rollup))
+    holidays = _holidays(store, split)
+    models = demand.m1_train(demand.m1_training_rows(series, holidays, stock, min_days), trees)
+    inputs = demand.m1_scoring_rows(series, holidays, stock, split, config.SCORE_MIN_DAYS)
+    actuals = demand.actual_demand(moves, split + dt.timedelta(days=1), config.HORIZONS, names)
+    return store.replace("demand/held_out_error", demand.forecast_error(demand.m1_score(models, inputs), actuals))
+
+
 def learn_weather(store: Store, bodies: DataFrame) -> None:
     """Stores the forecast days and fits the weather lift on the lifts seen last week."""
     weather = store.replace("demand/weather", weather_rows(bodies))
@@ -315,7 +337,7 @@ def release(
     consolidated = sweep.daily_po_consolidation(store.read("gold/po_audit"), master, day)
     lines = store.replace("gold/edi_lines", edi.edi_lines(sweep.empty_guard(consolidated), day))
     files = store.replace("gold/edi_files", edi.edi_files(lines, timestamp))
-    edi.edi_sink(
-        edi.edi_documents(lines, sender_id, timestamp, files), store.path(f"edi/{timestamp}")
-    )
+    table = store.path("gold/edi_documents")
+    edi.edi_sink(edi.edi_documents(lines, sender_id, timestamp, files), table)
+    edi.edi_hand_over(store.spark.read.parquet(table), store.path(f"edi/{timestamp}"))
     return files

@@ -186,14 +186,18 @@ SELECT p.werks, p.unified_sku_id,
 FROM positions p JOIN key_velocity v ON p.werks=v.werks AND p.unified_sku_id=v.unified_sku_id""",
     "replayed": f"""
 SELECT werks, unified_sku_id,
-  CASE WHEN stock>0 AND week=0 AND month>5 THEN 1 ELSE 0 END AS is_phantom, label_date
+  CASE WHEN stock_qty>0 AND sales_7d=0 AND sales_28d>5 THEN 1 ELSE 0 END AS is_phantom, label_date,
+  stock_qty, sales_7d, sales_14d, sales_28d, sales_90d, last_sale
 FROM (
-  SELECT werks, unified_sku_id, label_date, sum(net) AS stock,
-    sum(CASE WHEN BUDAT>=label_date-7 THEN sold ELSE 0 END) AS week,
-    sum(CASE WHEN BUDAT>=label_date-28 THEN sold ELSE 0 END) AS month, sum(n) AS n
+  SELECT werks, unified_sku_id, label_date, sum(net) AS stock_qty,
+    sum(CASE WHEN BUDAT>=label_date-7 THEN sold ELSE 0 END) AS sales_7d,
+    sum(CASE WHEN BUDAT>=label_date-14 THEN sold ELSE 0 END) AS sales_14d,
+    sum(CASE WHEN BUDAT>=label_date-28 THEN sold ELSE 0 END) AS sales_28d,
+    sum(CASE WHEN BUDAT>=label_date-90 THEN sold ELSE 0 END) AS sales_90d,
+    max(last_sale) AS last_sale, sum(n) AS n
   FROM (
     SELECT WERKS AS werks, unified_sku_id, BUDAT, sum({_signed()}) AS net, sum({_sale()}) AS sold,
-      count(*) FILTER (BWART IN ('601','602')) AS n
+      count(*) FILTER (BWART IN ('601','602')) AS n, max(BUDAT) FILTER (BWART='601') AS last_sale
     FROM movements_asof LEFT JOIN registry ON MATNR=sap_material_number GROUP BY ALL)
   JOIN (SELECT ({REF}-i::INT)::DATE AS label_date FROM range(90) t(i)) ON BUDAT<=label_date
   GROUP BY ALL) WHERE n>0""",

@@ -138,6 +138,8 @@ def test_daily_demand(spark):
     fresh = series.withColumn("unified_sku_id", F.lit("NEW")).distinct()
     categories = series.unionByName(fresh).withColumn("category", F.col("werks"))
     daily.score_demand(store, day, categories, star.weather_bodies, star.kinds)
+    held_out = daily.hold_out_demand(store, day, star.kinds, 14, config.TreeSettings(trees=1, depth=2, rate=0.3))
+    assert {r.horizon_days for r in held_out.filter("mae > 0").collect()} == {7, 14, 28}
     daily.learn_weather(store, star.weather_bodies)
     daily.score_demand(store, day, categories, star.weather_bodies, star.kinds)
     filled = store.read("demand/with_fallback")

@@ -219,7 +219,9 @@ def test_edi_documents_and_files(rows, spark):
         by_vendor.setdefault(r.vendor_id, []).append(r)
     ordered = lines.orderBy("vendor_id", "line_number").collect()
     folder = work_dir(spark, "edi-test")
-    edi.edi_sink(segments, folder)
+    edi.edi_sink(segments, f"{folder}-table")
+    assert spark.read.parquet(f"{folder}-table").count() == segments.count()
+    edi.edi_hand_over(spark.read.parquet(f"{folder}-table"), folder)
     for vendor, got in by_vendor.items():
         want = document([r for r in ordered if r.vendor_id == vendor], "BUYER", vendor, stamp)
         assert [r.segment for r in got] == want
