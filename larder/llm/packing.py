@@ -27,6 +27,10 @@ ROUNDS = 100
 RANK_BLOCK = 1024
 _PARTS = 64
 _WORDS_KEPT = 200_000
+_MARKS = ".,;:!?%&#$*|"
+# Byte-level vocabularies write a byte that cannot be printed as the next letter from 256 on.
+_UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
 
 
 def patterns(lengths: np.ndarray, capacity: int, most: int = MOST_PATTERNS) -> np.ndarray:
@@ -155,24 +159,64 @@ class _Tokens:
     """Token ids as little-endian bytes, with the ids of recent words kept.
 
     The vocabulary drops white space and never joins across it, so a text is the sum of its
-    words; words seen for the first time go to the tokenizer in one batch.
+    words. A word of letters and trailing marks is the sum of both; its parts go through the
+    steps of the tokenizer one by one, which is much cheaper than a whole encoding.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > _WORDS_KEPT:
-            self.known = {}
-        fresh = list({w for ws in words for w in ws if w not in self.known})
-        for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        self.steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            if len(self.parts) > _WORDS_KEPT:
+                self.parts.clear()
+            normalizer, splitter, model = self.steps
+            plain = part if part.isascii() else normalizer.normalize_str(part)
+            if plain.isalpha():  # one piece: its bytes in the letters of the vocabulary
+                pieces = [plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTE_LETTERS)]
+            else:
+                pieces = [piece for piece, _ in splitter.pre_tokenize_str(plain)]
+            ids = [token.id for piece in pieces for token in model.tokenize(piece)]
+            found = self.parts[part] = np.array(ids, dtype="<u4").tobytes()
+        return found
+
+    def _word(self, word: str) -> bytes:
+        body = word.rstrip(_MARKS)
+        if body.isalpha():
+            marks = word[len(body) :]
+            found = self._part(body.lower() if body.isascii() else body)
+            if marks:
+                found += self._part(marks)
+        else:  # may hold a special token, which only the whole encoding knows
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.words[word] = found
+        return found
+
+    def __call__(self, text: str) -> bytes:
+        words = text.replace("\n", " ").split(" ")
+        if len(self.words) > _WORDS_KEPT:
+            self.words.clear()
+        get = self.words.get
+        found = [get(w) for w in words]
+        if None in found:
+            found = [self._word(w) if x is None else x for w, x in zip(words, found)]
+        return b"".join(found)
+
+
+_TOKENS: dict[str, _Tokens] = {}
+
+
+def _tokens(path: str) -> _Tokens:
+    """One per Python worker, kept between its tasks."""
+    if path not in _TOKENS:
+        _TOKENS[path] = _Tokens(path)
+    return _TOKENS[path]
 
 
 def pieces(
@@ -196,13 +240,13 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encode = _Tokens(public_tokenizers.path(tokenizer))
+        encode = _tokens(public_tokenizers.path(tokenizer))
         end = np.array([end_id], dtype="<u4").tobytes()
         for part in slices(batches):
             rows = []
             keys = part.column("key").to_pylist()
-            for k, data in zip(keys, encode([t or "" for t in part.column("text").to_pylist()])):
-                data += end
+            for k, t in zip(keys, part.column("text").to_pylist()):
+                data = encode(t or "") + end
                 for i, at in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[at : at + 4 * capacity]
                     row = [k, i, at // 4, len(own) // 4, zlib.crc32(own)]
