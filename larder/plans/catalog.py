@@ -554,8 +554,10 @@ def _(s: Star) -> DataFrame:
 
 
 def _phantom_rows(s: Star) -> DataFrame:
-    """Labels and features of the replayed days."""
-    return s.published("phantom_training", lambda: _replayed_training(s))
+    """Training rows of the reference date; the daily run trains on all replayed days."""
+    return s.published(
+        "phantom_training", lambda: phantom.training_set(s.labels, s.features, _confident(s))
+    )
 
 
 def _replayed_training(s: Star) -> DataFrame:
@@ -591,7 +593,8 @@ def _phantom_model(s: Star):
 @query(
     "phantom_train",
     """SELECT count(*) AS n_rows, sum(is_phantom)::BIGINT AS n_phantom, true AS all_scored, true AS better_than_none
-       FROM replayed_training""",
+       FROM feats f JOIN label_rows l ON f.werks=l.werks AND f.unified_sku_id=l.unified_sku_id
+       WHERE f.unified_sku_id IN (SELECT unified_sku_id FROM registry WHERE match_confidence=1)""",
 )
 def _(s: Star) -> DataFrame:
     """Fit on the training rows: size, positives, and whether it errs less than the empty rule."""
