@@ -45,11 +45,13 @@ def with_struct(
     inputs: Sequence[str],
     into: str,
     result: StructType,
-    function: Callable[..., list[dict | None]],
+    setup: Callable[[], Callable[..., list[dict | None]]],
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Adds the struct column ``into``, made by ``function`` from lists of the input columns.
+    """Adds the struct column ``into``, made from lists of the input columns.
 
+    ``setup`` runs once per task and gives the function that makes it, so what the function
+    keeps between calls goes with the task.
     All other columns, or those in ``keep``, pass through unread; a column already named
     ``into`` is replaced.
     """
@@ -64,6 +66,7 @@ def with_struct(
     wanted, row_fields = _arrow_struct(result), list(_arrow_struct(row_type))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = setup()
         for part in slices(batches):
             rows = part.column("_row")
             made = pa.array(function(*[rows.field(c).to_pylist() for c in inputs]), type=wanted)

@@ -28,7 +28,8 @@ SMOOTHING = 0.5
 UNSEEN_WEIGHT = 0.5
 EVIDENCE = 10.0  # words after which more text adds no confidence
 _FLUSH = 200_000
-_CACHE = 200_000
+_CACHE = 100_000
+_AT_ONCE = 20_000
 _WORD = re.compile(r"[^\W\d_]+")
 _CUT = 64  # a longer word is counted and scored by its pieces of this length
 
@@ -116,7 +117,7 @@ class Model:
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.table = np.zeros((len(model.words) + 1 + _CACHE + 65536, len(model.langs)), dtype=np.float32)
+        self.table = np.zeros((len(model.words) + 1 + _CACHE + _AT_ONCE, len(model.langs)), dtype=np.float32)
         self.known = {w: i for i, w in enumerate(model.words)}
         if model.words:
             self.table[: len(model.words)] = list(model.words.values())
@@ -126,9 +127,6 @@ class Scorer:
         i = self.known.get(word)
         if i is None:
             logs = self.model.unseen(word)
-            if self.size == len(self.table):
-                self.known = {w: i for i, w in enumerate(self.model.words)}
-                self.size = len(self.known)
             i = self.size
             self.table[i] = logs if logs else 0.0
             self.known[word] = i
@@ -140,8 +138,11 @@ class Scorer:
         if not words or not self.model.langs:
             return {"lang": UNKNOWN, "score": 0.0}
         total, n = np.zeros(len(self.model.langs)), len(words)
-        for begin in range(0, n, 50_000):
-            some = words[begin : begin + 50_000]
+        for begin in range(0, n, _AT_ONCE):
+            if self.size > len(self.model.words) + _CACHE:  # only here, where no row is in use
+                self.known = {w: i for i, w in enumerate(self.model.words)}
+                self.size = len(self.known)
+            some = words[begin : begin + _AT_ONCE]
             get = self.known.get
             at = [get(w) for w in some]
             if None in at:
@@ -193,18 +194,8 @@ def identify(
     no language. A text of which the model knows no word and no n-gram has score 0. Equal scores go to the first language by name. Other columns and repeated
     rows stay (``keep`` names fewer columns); an existing column ``into`` is replaced.
     """
-    def score(texts: list) -> list[dict]:
-        scorer = _scorer(model)
-        return [scorer(t) for t in texts]
-
-    return with_struct(df, [text], into, RESULT, score, keep)
-
-
-_SCORERS: dict[int, Scorer] = {}
-
+    def setup():
+        scorer = Scorer(model)
+        return lambda texts: [scorer(t) for t in texts]
 
-def _scorer(model: Model) -> Scorer:
-    if id(model) not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[id(model)] = Scorer(model)
-    return _SCORERS[id(model)]
+    return with_struct(df, [text], into, RESULT, setup, keep)

@@ -37,7 +37,7 @@ EMPTY = 0xFFFF
 MARGIN = 5.5  # standard errors below the threshold that an estimate may lie
 BUCKET_BLOCK = 1000
 GROUP_BLOCK = 500
-_WORDS_KEPT = 200_000
+_WORDS_KEPT = 100_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -26,7 +26,7 @@ MOST_PATTERNS = 16_384
 ROUNDS = 100
 RANK_BLOCK = 1024
 _PARTS = 64
-_WORDS_KEPT = 200_000
+_WORDS_KEPT = 100_000
 _MARKS = ".,;:!?%&#$*|"
 # Byte-level vocabularies write a byte that cannot be printed as the next letter from 256 on.
 _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
@@ -198,6 +198,10 @@ class _Tokens:
         self.words[word] = found
         return found
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.parts.clear()
+
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         if len(self.words) > _WORDS_KEPT:
@@ -213,9 +217,10 @@ _TOKENS: dict[str, _Tokens] = {}
 
 
 def _tokens(path: str) -> _Tokens:
-    """One per Python worker, kept between its tasks."""
+    """One per Python worker; the words of earlier tasks are let go."""
     if path not in _TOKENS:
         _TOKENS[path] = _Tokens(path)
+    _TOKENS[path].forget()
     return _TOKENS[path]
 
 
@@ -254,6 +259,7 @@ def pieces(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), type=t) for c, (_, t) in zip(zip(*rows), fields)], schema=schema
             )
+        encode.forget()
 
     ddl = f"key {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return short_batches(given).mapInArrow(run, ddl).withColumnRenamed("key", key)

@@ -155,7 +155,7 @@ def find_spans(
     Null and empty texts have none. Rows, also repeated ones, and other columns stay as
     they are (``keep`` names fewer columns); an existing column ``into`` is replaced.
     """
-    return with_struct(df, [text], into, RESULT, lambda texts: [{"spans": find(t)} for t in texts], keep)
+    return with_struct(df, [text], into, RESULT, lambda: lambda texts: [{"spans": find(t)} for t in texts], keep)
 
 
 def spans_text(spans: Column) -> Column:
@@ -184,7 +184,7 @@ def mask(df: DataFrame, text: str = "text", length: str | None = "n_chars", leas
             out.append({"text": t if t is None or not pieces else "".join(pieces) + t[at:]})
         return out
 
-    done = with_struct(df, [text], "_masked", StructType([StructField("text", StringType())]), masked)
+    done = with_struct(df, [text], "_masked", StructType([StructField("text", StringType())]), lambda: masked)
     columns = []
     for c in df.columns:
         if c == text:

@@ -41,7 +41,7 @@ SECOND_PERSON = frozenset(
 NEAR = 4
 PLAIN = str.maketrans("013457@$!|", "oieastasii")
 _WORD = re.compile(r"\w+(?:[@$!|*.'-]+\w+)*")
-_CACHE = 200_000
+_CACHE = 100_000
 _LONG = 40
 FEATURES = 16
 STRONG = 3.0
@@ -152,11 +152,11 @@ VECTOR = StructType([StructField("features", ArrayType(DoubleType()))])
 def with_features(
     df: DataFrame, lexicon: dict[str, float], text: str, into: str, keep: list[str] | None = None
 ) -> DataFrame:
-    def run(texts: list) -> list[dict]:
+    def setup():
         features = Features(lexicon)
-        return [{"features": features(t)} for t in texts]
+        return lambda texts: [{"features": features(t)} for t in texts]
 
-    return with_struct(df, [text], into, VECTOR, run, keep)
+    return with_struct(df, [text], into, VECTOR, setup, keep)
 
 
 @dataclass

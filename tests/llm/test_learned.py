@@ -51,6 +51,18 @@ def test_unseen_word_takes_the_longest_known_ngrams(rows):
     assert model.unseen("chatz") == pytest.approx([langid.UNSEEN_WEIGHT * t / n for t in total])
 
 
+def test_forgotten_words_change_no_score(rows, monkeypatch):
+    model = _model(rows)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["cat", "hund", "chat"]) + rng.choice("abcdef") * rng.randrange(9) for _ in range(60)) for _ in range(40)]
+    want = [langid.Scorer(model)(t) for t in texts]
+    monkeypatch.setattr(langid, "_CACHE", 5)
+    monkeypatch.setattr(langid, "_AT_ONCE", 7)
+    small = langid.Scorer(model)
+    assert [small(t)["lang"] for t in texts] == [w["lang"] for w in want]
+    assert [small(t)["score"] for t in texts] == pytest.approx([w["score"] for w in want], abs=1e-4)
+
+
 def test_language_edge_cases(rows, spark):
     model = _model(rows)
     df = rows(DOCS, (1, None), (2, ""), (3, "123 !? _"), (4, "the the"), (4, "the the"), (None, "x" * 200_000)).withColumns(
