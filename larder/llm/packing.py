@@ -9,6 +9,7 @@ look up their place by their number within their length, so nothing is gathered.
 from __future__ import annotations
 
 import bisect
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,8 +27,10 @@ MOST_PATTERNS = 16_384
 ROUNDS = 100
 RANK_BLOCK = 1024
 _PARTS = 64
-_WORDS_KEPT = 100_000
+_WORDS_KEPT = 200_000
 _MARKS = ".,;:!?%&#$*|"
+# Letters below this one are composed already and have one plain lower-case letter each.
+_COMPOSED = "\u0130"
 # Byte-level vocabularies write a byte that cannot be printed as the next letter from 256 on.
 _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
@@ -155,6 +158,10 @@ def places(rows: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
     return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Tokens:
     """Token ids as little-endian bytes, with the ids of recent words kept.
 
@@ -177,24 +184,24 @@ class _Tokens:
             if len(self.parts) > _WORDS_KEPT:
                 self.parts.clear()
             normalizer, splitter, model = self.steps
-            plain = part if part.isascii() else normalizer.normalize_str(part)
+            plain = part if max(part) < _COMPOSED else normalizer.normalize_str(part)
             if plain.isalpha():  # one piece: its bytes in the letters of the vocabulary
                 pieces = [plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTE_LETTERS)]
             else:
                 pieces = [piece for piece, _ in splitter.pre_tokenize_str(plain)]
             ids = [token.id for piece in pieces for token in model.tokenize(piece)]
-            found = self.parts[part] = np.array(ids, dtype="<u4").tobytes()
+            found = self.parts[part] = _packed(ids)
         return found
 
     def _word(self, word: str) -> bytes:
         body = word.rstrip(_MARKS)
         if body.isalpha():
             marks = word[len(body) :]
-            found = self._part(body.lower() if body.isascii() else body)
+            found = self._part(body.lower() if max(body) < _COMPOSED else body)
             if marks:
                 found += self._part(marks)
         else:  # may hold a special token, which only the whole encoding knows
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            found = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         self.words[word] = found
         return found
 
