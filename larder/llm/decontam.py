@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed masks: 1 is a word that counts, 0 one that may differ.
-MASKS = ("11101101011", "11011010111")
+# Fixed masks: 1 is a word that counts, 0 one that may differ. Wherever 10 words of a window of 13
+# agree, one of the masks lies on agreeing words only, so no overlap lacks a seed.
+MASKS = ("1101111", "1110100011", "111001011", "11010111", "101000110101")
 WINDOW = 13
 LEAST_EQUAL = 10
 BROADCAST_SEEDS = 500_000
@@ -25,32 +26,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _seeds(hashes: str, masks: Sequence[str]) -> Column:
-    """Array of (at, seed): every window of the array column under every mask.
-
-    A text shorter than a mask has one seed of all its words; see ``contaminated``.
-    """
-    arrays = []
-    for number, mask in enumerate(masks):
-        chosen = ", ".join(f"{hashes}[i + {j}]" for j, c in enumerate(mask) if c == "1")
-        arrays.append(
-            f"transform(sequence(0, size({hashes}) - {len(mask)}),"
-            f" i -> xxhash64({number}, {chosen}))"
-        )
-    longest = max(map(len, masks))
-    empty = "cast(array() AS array<bigint>)"
-    listed = [f"CASE WHEN size({hashes}) >= {longest} THEN {a} ELSE {empty} END" for a in arrays]
-    return F.array(*[F.expr(a) for a in listed])
-
-
 def _hashed(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     words = df.select(F.col(f"`{key}`").alias(name), words_of(F.col(f"`{text}`")).alias("_words"))
     return words.select(name, F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
 
 
 def _seed_rows(hashed: DataFrame, name: str, masks: Sequence[str], at: str) -> DataFrame:
-    per_mask = hashed.select(name, F.explode(_seeds("_hashes", masks)).alias("_list"))
-    return per_mask.select(name, F.posexplode("_list").alias(at, "_seed"))
+    """Rows (name, at, _seed): every mask at every place of the words where it fits."""
+    places = hashed.select(name, "_hashes", F.explode(F.expr("sequence(0, size(_hashes))")).alias(at))
+    seeds = []
+    for number, mask in enumerate(masks):
+        chosen = ", ".join(f"get(_hashes, {at} + {j})" for j, c in enumerate(mask) if c == "1")
+        seeds.append(f"CASE WHEN {at} + {len(mask)} <= size(_hashes) THEN xxhash64({number}, {chosen}) END")
+    listed = places.select(name, at, F.explode(F.array(*[F.expr(s) for s in seeds])).alias("_seed"))
+    return listed.filter("_seed IS NOT NULL")
 
 
 def _best(equal: Column) -> Column:
@@ -76,8 +65,9 @@ def overlaps(
 ) -> DataFrame:
     """Confirmed overlaps: doc, item, start (word of the document where the item would begin), n_equal.
 
-    Documents and items with fewer words than a mask have no seeds and no overlap; so have
-    null and empty texts. Null keys meet nothing. Rows with equal keys count as one document
+    Documents and items with fewer than ``least_equal`` words have no overlap; so have null and
+    empty texts. MASKS find every overlap for 10 of 13; other masks or a smaller ``least_equal``
+    may miss some. Null keys meet nothing. Rows with equal keys count as one document
     or item, repeated rows change nothing, and other columns are ignored.
     """
     docs = _hashed(df.filter(F.col(f"`{key}`").isNotNull()), key, text, "doc")

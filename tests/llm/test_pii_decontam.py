@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -127,3 +128,39 @@ def test_nulls_repeats_clashing_columns_and_empty(rows, spark):
     assert sorted(r.doc_id or 0 for r in clean.collect()) == [0, 2, 3, 4]
     assert decontam.contaminated(spark.createDataFrame([], DOCS), items).count() == 0
     assert decontam.clean(df, spark.createDataFrame([], ITEMS)).count() == 6
+
+
+def by_rule(docs, items):
+    """Pairs with 10 of 13 equal words at some alignment, whatever the seeds."""
+    found = set()
+    for d, a in docs:
+        for i, b in items:
+            for start in range(-len(b), len(a)):
+                eq = [int(0 <= start + j < len(a) and a[start + j] == b[j]) for j in range(len(b))]
+                if max(sum(eq[p : p + 13]) for p in range(max(1, len(eq) - 12))) >= 10:
+                    found.add((d, i))
+    return found
+
+
+def test_every_overlap_by_the_rule_is_found(rows):
+    rng = random.Random(8)
+    items = [(n, [f"w{n}x{j}" for j in range(n)]) for n in (10, 11, 12, 13, 15, 16, 60)]
+    docs = []
+    for n, words in items:
+        for k in range(5):
+            for _ in range(12):
+                gone = rng.sample(range(n), k)
+                docs.append((len(docs), ["a", "b", *("x" if j in gone else w for j, w in enumerate(words)), "c"]))
+    docs.append((len(docs), ["x" if j % 4 == 3 else w for j, w in enumerate(items[-1][1])]))
+    joined = lambda pairs: [(k, " ".join(words)) for k, words in pairs]
+    got = decontam.overlaps(rows(DOCS, *joined(docs)), rows(ITEMS, *joined(items)))
+    want = by_rule(docs, items)
+    assert {(r.doc, r.item) for r in got.collect()} == want and (len(docs) - 1, 60) in want
+
+
+def test_masks_leave_no_gap():
+    for gone in itertools.combinations(range(13), 3):
+        assert any(
+            all(p + k not in gone for k, c in enumerate(mask) if c == "1")
+            for mask in decontam.MASKS for p in range(13 - len(mask) + 1)
+        )
