@@ -164,3 +164,17 @@ def test_masks_leave_no_gap():
             all(p + k not in gone for k, c in enumerate(mask) if c == "1")
             for mask in decontam.MASKS for p in range(13 - len(mask) + 1)
         )
+
+
+def test_short_and_unspaced_items_are_found(rows):
+    chinese = "".join(chr(0x4E00 + 37 * i) for i in range(40))
+    thai = "".join(chr(0x0E01 + i % 40) for i in range(15))
+    edited = "".join("書" if i % 7 == 3 else c for i, c in enumerate(chinese))
+    items = rows(ITEMS, (1, "What is the capital of Peru?"), (2, "Photosynthesis"), (3, chinese), (4, thai), (5, "?!"),
+                 (6, "one two three four five six seven eight nine ten"))
+    df = rows(DOCS, (1, "Asked: WHAT is the capital, of Peru"), (2, "photosynthesis"), (3, "前" + chinese + "後"), (4, "x" + thai),
+              (5, "What is the capital of Chile?"), (6, "photosynthetic"), (7, edited), (8, chinese[:12] + "x" + chinese[30:]),
+              (9, thai[:14]), (10, "one two three four five six seven eight nine ten"), (11, "?!"))
+    got = {r.doc_id: (r.item_ids, r.n_equal) for r in decontam.contaminated(df, items).collect()}
+    assert got == {1: ([1], 6), 2: ([2], 1), 3: ([3], 40), 4: ([4], 15), 7: ([3], 34), 10: ([6], 10)}
+    assert {r.doc_id for r in decontam.clean(df, items).collect()} == {5, 6, 8, 9, 11}
