@@ -1,7 +1,8 @@
 """URL filter: rules first, then the ratio of two character language models.
 
 Pages with a rule are the examples. For accepted and for rejected URLs, character models of
-order 0 to 2 are counted, each smoothed with the next shorter one. A URL without a rule is
+order 0 to 5 are counted, each smoothed with the next shorter one, so that a long context
+weighs as much as its counts support. A URL without a rule is
 judged by its mean log-likelihood difference against a threshold calibrated on examples
 that were not counted. Everything is a built-in expression.
 """
@@ -16,13 +17,13 @@ from pyspark.sql import functions as F
 from larder.llm.common import stored
 
 ALLOW, BLOCK = "allow", "block"
-# Characters the models tell apart; all others count as one. With start and end this gives
-# 49 symbols, so the table of trigrams has at most 49**3 = 117,649 rows and may be broadcast.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./:?=&#_%-"
-_START, _END = len(ALPHABET) + 1, len(ALPHABET) + 2
-SYMBOLS = len(ALPHABET) + 3
+LONGEST = 6  # characters of a gram: the last one and its context
+_START, _END = "\x02", "\x03"
 SMOOTHING = 2.0
 CALIBRATION_FOLDS = 5
+# Grams with at least one in COMMON of all places, at most that many, are joined by broadcast.
+COMMON = 10_000
+_STEPS = 1e9  # log ratios are added as whole numbers, so their order does not matter
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,71 +51,92 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 
 
 def _grams(df: DataFrame) -> DataFrame:
-    """One row per character of _url: the codes of the two characters before it and its own."""
+    """One row per character of _url and its end: the character behind the LONGEST - 1 before it."""
     letters = F.filter(F.split(F.lower("_url"), ""), lambda c: c != "")
-    codes = F.concat(
-        F.array(F.lit(_START), F.lit(_START)),
-        F.transform(letters, lambda c: F.call_function("instr", F.lit(ALPHABET), c)),
-        F.array(F.lit(_END)),
-    )
-    listed = df.withColumn("_codes", codes)
+    padded = F.concat(F.array(*[F.lit(_START)] * (LONGEST - 1)), letters, F.array(F.lit(_END)))
+    listed = df.select(*[c for c in df.columns if c != "_url"], padded.alias("_letters"))
+    joined = ", ".join(f"_letters[i + {j}]" for j in range(LONGEST))
     return listed.select(
-        *df.columns,
-        F.explode(
-            F.expr(
-                "zip_with(zip_with(slice(_codes, 1, size(_codes) - 2), slice(_codes, 2, size(_codes) - 2),"
-                f" (a, b) -> a * {SYMBOLS} + b), slice(_codes, 3, size(_codes) - 2),"
-                f" (ab, c) -> ab * {SYMBOLS} + c)"
-            )
-        ).alias("_gram"),
+        *[c for c in listed.columns if c != "_letters"],
+        F.explode(F.expr(f"transform(sequence(0, size(_letters) - {LONGEST}), i -> concat({joined}))")).alias("_gram"),
     )
 
 
 def fit(urls: DataFrame) -> DataFrame:
-    """Trigram code and log ratio of accepted to rejected, for every trigram of the URLs.
+    """Gram, log ratio of accepted to rejected in steps of 1 / _STEPS, and whether it is common.
 
     ``urls`` has _url, _verdict (null: not an example) and _n, the number of rows. All
-    trigrams are listed, so that those of unjudged URLs find their shorter context here.
+    grams are listed, so that those of unjudged URLs find their shorter contexts here. The
+    table grows with the URLs.
     """
-    counted = _grams(urls).groupBy("_gram").agg(
-        *[F.sum(F.when(F.col("_verdict") == v, F.col("_n")).otherwise(0)).alias(f"{v}_n") for v in (ALLOW, BLOCK)]
-    )
-    tri = stored(counted, "url-grams")
-    c, b = F.col("_gram") % SYMBOLS, F.floor(F.col("_gram") / SYMBOLS) % SYMBOLS
-    tri = tri.withColumns({"_c": c, "_b": b, "_ab": F.floor(F.col("_gram") / SYMBOLS)})
     kinds = (ALLOW, BLOCK)
-    sums = [F.sum(f"{k}_n").alias(f"{k}_n") for k in kinds]
-
-    def smoothed(df: DataFrame, context: Sequence[str], order: int) -> DataFrame:
-        around = Window.partitionBy(*context)
-        return df.withColumns(
+    counted = _grams(urls.select("_url", "_verdict", "_n")).groupBy("_gram").agg(
+        F.count(F.lit(1)).alias("_places"),
+        *[F.sum(F.when(F.col("_verdict") == v, F.col("_n")).otherwise(0)).alias(f"{v}_n") for v in kinds],
+    )
+    longest = stored(counted, "url-grams")
+    before = None
+    for size in range(1, LONGEST + 1):
+        gram = F.substring("_gram", 1 + LONGEST - size, size)
+        sums = [F.sum(f"{c}").alias(c) for c in ("_places", *[f"{k}_n" for k in kinds])]
+        grams = longest.groupBy(gram.alias("_gram")).agg(*sums)
+        if before is None:
+            every = Window.partitionBy()
+            grams = grams.withColumns({f"{k}_less": 1.0 / F.count(F.lit(1)).over(every) for k in kinds})
+        else:
+            shorter = before.select(F.col("_gram").alias("_shorter"), *[F.col(f"{k}_p").alias(f"{k}_less") for k in kinds])
+            grams = grams.withColumn("_shorter", F.substring("_gram", 2, size - 1)).join(shorter, "_shorter")
+        around = Window.partitionBy(*([F.substring("_gram", 1, size - 1)] if size > 1 else []))
+        before = grams.withColumns(
             {
-                f"{k}_p{order}": (F.col(f"{k}_n") + SMOOTHING * (F.col(f"{k}_p{order - 1}") if order else F.lit(1.0 / SYMBOLS)))
-                / (F.sum(f"{k}_n").over(around) + SMOOTHING)
+                f"{k}_p": (F.col(f"{k}_n") + SMOOTHING * F.col(f"{k}_less")) / (F.sum(f"{k}_n").over(around) + SMOOTHING)
                 for k in kinds
             }
         )
+    places = longest.agg(F.sum("_places")).first()[0] or 0
+    return before.select(
+        "_gram",
+        F.round(F.log(F.col(f"{ALLOW}_p") / F.col(f"{BLOCK}_p")) * _STEPS).cast("long").alias("_ratio"),
+        (F.col("_places") * COMMON >= places).alias("_common"),
+    )
 
-    one = smoothed(tri.groupBy("_c").agg(*sums), [], 0).select("_c", *[f"{k}_p0" for k in kinds])
-    two = smoothed(tri.groupBy("_b", "_c").agg(*sums).join(one, "_c"), ["_b"], 1)
-    three = smoothed(tri.join(two.select("_b", "_c", *[f"{k}_p1" for k in kinds]), ["_b", "_c"]), ["_ab"], 2)
-    return three.select("_gram", F.log(F.col(f"{ALLOW}_p2") / F.col(f"{BLOCK}_p2")).alias("_ratio"))
 
+def scored(urls: DataFrame, ratios: DataFrame) -> DataFrame:
+    """Adds _score, the mean log ratio over the places of _url, to distinct URLs.
 
-def threshold(scored: DataFrame) -> float:
+    Places are told apart by two hashes of their URL. Common grams are looked up by broadcast,
+    all others meet their row by shuffle; none of these has many places.
+    """
+    marks = {"_one": F.xxhash64("_url"), "_two": F.xxhash64(F.lit(1), "_url")}
+    places = _grams(urls.select("_url").withColumns(marks))
+    common = F.broadcast(ratios.filter("_common").select("_gram", "_ratio"))
+    rare = ratios.filter("NOT _common").select("_gram", "_ratio")
+    sums = [
+        found.groupBy("_one", "_two").agg(F.sum("_ratio").alias("_sum"), F.count(F.lit(1)).alias("_places"))
+        for found in (places.join(common, "_gram"), places.join(common, "_gram", "left_anti").join(rare, "_gram"))
+    ]
+    whole = sums[0].unionByName(sums[1]).groupBy("_one", "_two").agg(
+        F.round(F.sum("_sum") / F.sum("_places") / _STEPS, 6).alias("_score")
+    )
+    return urls.withColumns(marks).join(whole, ["_one", "_two"]).drop("_one", "_two")
+
+
+def threshold(scores: DataFrame) -> float:
     """The score that separates examples best, by the mean of both hit rates.
 
-    ``scored`` has _score, _verdict and _n. Scores are counted in steps of 0.01 first; there
-    are few, because a mean log ratio is bounded by the smoothing. Without both kinds: 0.
+    ``scores`` has _score, _verdict and _n. Scores are counted in steps of 0.01 first; there
+    are few, because a mean log ratio is bounded by the smoothing. Of the values between two
+    counted steps, which separate alike, the one nearest to 0 stands. Without both kinds: 0.
     """
-    steps = scored.groupBy(F.floor(F.col("_score") * 100).alias("_step")).agg(
+    steps = scores.groupBy(F.floor(F.col("_score") * 100).alias("_step")).agg(
         F.sum(F.when(F.col("_verdict") == ALLOW, F.col("_n")).otherwise(0)).alias("good"),
         F.sum(F.when(F.col("_verdict") == BLOCK, F.col("_n")).otherwise(0)).alias("bad"),
     )
     upto = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
+    below = F.lag("_step").over(Window.orderBy("_step")) + 1
     rates = steps.select(
-        "_step",
+        F.least(F.greatest(F.lit(0), below), F.col("_step")).alias("_step"),
         ((F.sum("good").over(everything) - F.coalesce(F.sum("good").over(upto), F.lit(0))) / F.sum("good").over(everything)).alias("kept"),
         (F.coalesce(F.sum("bad").over(upto), F.lit(0)) / F.sum("bad").over(everything)).alias("cut"),
     )
@@ -136,13 +158,8 @@ def judge(df: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url", int
         pages.groupBy("_url").agg(F.count(F.lit(1)).alias("_n")).withColumn("_verdict", ruled["verdict"]), "urls"
     )
     counted = F.crc32(F.col("_url")) % CALIBRATION_FOLDS != 0
-    ratios = fit(distinct.withColumn("_verdict", F.when(counted, F.col("_verdict"))))
-    scores = (
-        _grams(distinct)
-        .join(F.broadcast(ratios), "_gram")
-        .groupBy("_url", "_verdict", "_n")
-        .agg(F.round(F.avg("_ratio"), 6).alias("_score"))
-    )
+    ratios = stored(fit(distinct.withColumn("_verdict", F.when(counted, F.col("_verdict")))), "url-ratios")
+    scores = scored(distinct, ratios)
     scores = stored(scores, "url-scores")
     cut = threshold(scores.filter(~counted & F.col("_verdict").isNotNull()))
     names = rest.columns

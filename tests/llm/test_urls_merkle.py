@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +56,38 @@ def test_repeats_clashing_columns_long_and_empty(spark, rows):
     assert judged(spark.createDataFrame([], URLS)) == []
 
 
+def by_hand(examples, asked):
+    """Mean log ratios of models of order 0 to 5, each smoothed with the next shorter one."""
+    cut = lambda u: [(["\x02"] * 5 + list(u.lower()) + ["\x03"])[i : i + 6] for i in range(len(u) + 1)]
+    symbols = len({g[-1] for u in [*asked, *[u for u, _ in examples]] for g in cut(u)})
+    grams, around = Counter(), Counter()
+    for u, verdict in examples:
+        for g in cut(u):
+            for k in range(6):
+                grams[verdict, "".join(g[5 - k :])] += 1
+                around[verdict, k, "".join(g[5 - k : 5])] += 1
+
+    def share(verdict, g):
+        p = 1 / symbols
+        for k in range(6):
+            p = (grams[verdict, "".join(g[5 - k :])] + 2 * p) / (around[verdict, k, "".join(g[5 - k : 5])] + 2)
+        return p
+
+    return {u: sum(math.log(share("allow", g) / share("block", g)) for g in cut(u)) / (len(u) + 1) for u in asked}
+
+
+def test_long_contexts_and_all_characters_count(rows, monkeypatch):
+    monkeypatch.setattr(urls, "COMMON", 200)
+    good = [f"http://n{i}.example.com/one-path/ü{i}" for i in range(30)]
+    bad = [f"http://n{i}.example.net/es/two-path/ñ{i}" for i in range(30)]
+    asked = ["http://q.org/ü", "http://q.org/ñ", "http://q.org/~é+", "http://q.org/one-p", "http://q.org/two-p"]
+    got = {r.page_id: r.score for r in judged(rows(URLS, *enumerate([*asked, *good, *bad])))}
+    examples = [(u, v) for us, v in ((good, "allow"), (bad, "block")) for u in us if zlib.crc32(u.encode()) % 5]
+    want = by_hand(examples, [*asked, *good, *bad])
+    assert [got[i] for i in range(65)] == pytest.approx([want[u] for u in [*asked, *good, *bad]], abs=2e-6)
+    assert got[0] > got[1] and got[3] > got[4]
+
+
 DOCS = "doc_id long, text string"
 
 
