@@ -554,7 +554,7 @@ def _(s: Star) -> DataFrame:
 
 
 def _phantom_rows(s: Star) -> DataFrame:
-    """Training rows of the reference date; the daily run trains on all replayed days."""
+    """Labelled rows of the reference date, which the fitted model is applied to."""
     return s.published(
         "phantom_training", lambda: phantom.training_set(s.labels, s.features, _confident(s))
     )
@@ -587,7 +587,9 @@ def _(s: Star) -> DataFrame:
 
 
 def _phantom_model(s: Star):
-    return s.model("phantom_model", lambda: phantom.phantom_train(_phantom_rows(s)))
+    """Fitted on all replayed days, like the daily run."""
+    rows = lambda: s.published("phantom_training_replayed", lambda: _replayed_training(s))
+    return s.model("phantom_model", lambda: phantom.phantom_train(rows()))
 
 
 @query(
@@ -597,7 +599,8 @@ def _phantom_model(s: Star):
        WHERE f.unified_sku_id IN (SELECT unified_sku_id FROM registry WHERE match_confidence=1)""",
 )
 def _(s: Star) -> DataFrame:
-    """Fit on the training rows: size, positives, and whether it errs less than the empty rule."""
+    """The model of all replayed days on the rows of the reference date: their number, positives, and
+    whether it errs less than the empty rule."""
     scored = _phantom_model(s).transform(
         phantom.model_inputs(_phantom_rows(s), config.PHANTOM_FEATURES)
     )

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal as D
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from larder.operators.ordering import po_confirmations
 from larder import config
 from larder.operators import phantom
+from larder.plans import catalog
+from larder.plans.star import Star
 
 POSITIONS = "werks string, unified_sku_id string, stock_qty decimal(13,3)"
 VELOCITY = "werks string, unified_sku_id string, sales_7d decimal(13,3), sales_28d decimal(13,3)"
@@ -183,3 +186,13 @@ def test_backtest_without_flags_does_not_pass(rows):
     labels = rows(KEY + ", label_date int, is_phantom int", ("1", "A", 1, 1))
     got = phantom.backtest_precision(scores, labels).first()
     assert (got.precision, got.passes) == (None, False)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_queries_fit_all_replayed_days(spark, monkeypatch):
+    monkeypatch.setattr(phantom, "phantom_train", lambda rows: rows)
+    monkeypatch.setattr(Star, "model", lambda self, name, train: train())
+    star = Star(spark, "/root/testdata/sf0.001")
+    fitted = catalog._phantom_model(star)
+    assert fitted.select("label_date").distinct().count() > 1
+    assert fitted.count() == catalog.QUERIES["training_set_replayed"](star).count() > catalog._phantom_rows(star).count()
