@@ -21,11 +21,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from larder.llm.common import with_struct
 
 # Costs of the classifier, in tenths; above zero speaks for content.
-ROOT, ARTICLE, CONTENT_WORD, MARKED, INNER_HEADER, OUTSIDE_ARTICLE = 40, 10_000, 60, -200, -30, -200
+ROOT, ARTICLE, CONTENT_WORD, MARKED, INNER_HEADER, OUTSIDE_ARTICLE = 40, 10**9, 60, -200, -30, -200
 LONG_TEXT, SOME_TEXT, SHORT_TEXT, SENTENCE, HEADING, LINKED, LEGAL = 30, 10, 0, 10, 20, -60, -40
 # Smoothness: block and its element, element and parent, neighbours below one element, other neighbours.
 IN_ELEMENT, IN_PARENT, SAME_ELEMENT, NEXT_BLOCK = 100, 100, 20, 10
-IN_MARKED, OF_MARKED = 200, 10  # what lies in a marked element holds to it; it hardly holds to its parent
+IN_MARKED, OF_MARKED = 200, 0  # what lies in a marked element holds to it; it does not hold to its parent
 LONG_CHARS, SOME_CHARS = 80, 25
 
 _set = lambda text: frozenset(text.split())
