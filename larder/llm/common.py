@@ -194,3 +194,63 @@ class Groups:
         self.up[max(a, b)] = min(a, b)
         return True
 
+
+
+CELLS_A_ROW = 1 << 16
+
+
+def cell_counts(
+    df: DataFrame, cells: Callable[[pa.RecordBatch], np.ndarray], width: int, most: int
+) -> np.ndarray:
+    """How often each cell 0..width-1 was hit over all rows, counted up to ``most`` (255 at most).
+
+    ``cells`` gives the hits of a batch. A task counts in one array and hands over its non-zero
+    stretches, which are added up by stretch; the driver gets ``width`` bytes in the end.
+    """
+
+    def add(total: np.ndarray, hits: list[np.ndarray]) -> None:
+        at, n = np.unique(np.concatenate(hits), return_counts=True)
+        total[at] = np.minimum(total[at] + n, most)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held, size = np.zeros(width, np.uint8), [], 0
+        for batch in batches:
+            held.append(cells(batch))
+            size += len(held[-1])
+            if size > 1 << 20:
+                add(total, held)
+                held, size = [], 0
+        if held:
+            add(total, held)
+        for start in range(0, width, CELLS_A_ROW):
+            stretch = total[start : start + CELLS_A_ROW]
+            if stretch.any():
+                yield pa.RecordBatch.from_pydict({"start": [start], "counts": [stretch.tobytes()]})
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for start, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(counts.as_buffer(), np.uint8)
+                sums[start] = part if start not in sums else np.minimum(
+                    sums[start].astype(np.uint16) + part, most
+                ).astype(np.uint8)
+        for start, counts in sums.items():
+            yield pa.RecordBatch.from_pydict({"start": [start], "counts": [counts.tobytes()]})
+
+    schema = "start long, counts binary"
+    out = np.zeros(width, np.uint8)
+    for row in df.mapInArrow(count, schema).repartition("start").mapInArrow(merge, schema).toLocalIterator():
+        out[row.start : row.start + CELLS_A_ROW] = np.frombuffer(row.counts, np.uint8)
+    return out
+
+
+def shared_array(df: DataFrame, array: np.ndarray) -> Callable[[], np.ndarray]:
+    """The array, sent once to every executor; tasks call the result to read it."""
+    kind, sent = array.dtype, df.sparkSession.sparkContext.broadcast(array.tobytes())
+    return lambda: np.frombuffer(sent.value, kind)
+
+
+def width_for(n: int, least: int, most: int) -> int:
+    """The least power of two that holds ``n``, between ``least`` and ``most``."""
+    return min(max(least, 1 << max(n - 1, 0).bit_length()), most)

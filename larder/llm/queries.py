@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, decontam, extraction, langid, merkle, neardup, packing, pii, sharding, toxicity, urls
+from larder.llm import chat, decontam, extraction, langid, merkle, neardup, packing, pii, prefixes, sharding, toxicity, urls
+from larder.llm.common import stored
 from larder.llm.sql import ORACLE_SQL  # noqa: F401
 
 RULES = (
@@ -110,6 +111,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = stored(prefixes.numbered_turns(_table(spark, folder, "conversations")), "turns")
+    return prefixes.trie(prefixes.digested(prefixes.rebuilt(turns)))
+
+
 def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url", "html")
     found = extraction.extract(pages, into="main", keep=["page_id", "url"])
@@ -120,7 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_hyperminhash, op3_url_filters, op4_fingerprints, op5_pii, op6_decontamination,
-        op7_toxicity, op8_packing, op9_sharding, op10_language_id, op13_html_extraction,
+        op7_toxicity, op8_packing, op9_sharding, op10_language_id, op12_conversation_trie,
+        op13_html_extraction,
     )
 }
 

@@ -118,9 +118,49 @@ SELECT doc_id, array_to_string(list_sort(list_distinct(list(item_id))), ',') AS
 FROM judged WHERE n_best >= {decontam.LEAST_EQUAL} GROUP BY doc_id
 """
 
+# CRC-32 of the decimal digits, bit by bit: the reflected polynomial is 0xEDB88320.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}::VARCHAR, ''),
+    lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda crc, b: xor(xor(crc, b) >> 1, (xor(crc, b) & 1) * 3988292384)), 4294967295)"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS head_of, {_CRC32.format('conv_id')} % 6 AS h FROM turns),
+parts AS (
+  SELECT c.conv_id, 0 AS part, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.head_of AND t.place < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.role, t.text FROM convs c JOIN turns t USING (conv_id) WHERE t.place >= c.h),
+placed AS (
+  SELECT conv_id, length(text) AS n, sha256(sha256(role) || sha256(text)) AS own,
+    row_number() OVER w AS depth FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+paths AS (
+  SELECT conv_id, depth, n, string_agg(own, '/') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+ends AS (SELECT conv_id, max(depth) AS n_turns FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = n_turns), '')) AS ends_sha256,
+    count(*) = count(*) FILTER (depth = n_turns) AS childless
+  FROM paths JOIN ends USING (conv_id) GROUP BY path),
+above AS (SELECT p.path AS path, c.* EXCLUDE (path) FROM nodes c JOIN paths q ON q.conv_id = c.conv_id AND q.depth = c.depth
+  JOIN paths p ON p.conv_id = c.conv_id AND p.depth <= c.depth),
+sums AS (SELECT path, count(*) FILTER (childless) AS n_leaves, sum((n_convs - 1) * n)::BIGINT AS saved_tokens FROM above GROUP BY path),
+up AS (
+  SELECT c.path, p.path AS parent, n.conv_id AS parent_conv_id FROM nodes c JOIN paths p ON p.conv_id = c.conv_id AND p.depth = c.depth - 1
+  JOIN nodes n ON n.path = p.path),
+down AS (SELECT parent AS path, count(*) AS n_children FROM up GROUP BY parent)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM nodes JOIN sums USING (path) LEFT JOIN up USING (path) LEFT JOIN down USING (path)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": CHAT,
     "op2_hyperminhash": NEAR_COPIES,
     "op4_fingerprints": FINGERPRINTS,
     "op6_decontamination": DECONTAMINATION,
+    "op12_conversation_trie": CONVERSATION_TRIE,
 }
