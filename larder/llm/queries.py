@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, decontam, extraction, langid, merkle, neardup, packing, pii, prefixes, sharding, toxicity, urls
+from larder.llm import (
+    chat, collocations, decontam, extraction, langid, merkle, neardup, packing, pii, prefixes, sharding, toxicity, urls,
+)
 from larder.llm.common import stored
 from larder.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -111,6 +113,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents").select("text", "lang"))
+
+
 def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = stored(prefixes.numbered_turns(_table(spark, folder, "conversations")), "turns")
     return prefixes.trie(prefixes.digested(prefixes.rebuilt(turns)))
@@ -126,8 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_hyperminhash, op3_url_filters, op4_fingerprints, op5_pii, op6_decontamination,
-        op7_toxicity, op8_packing, op9_sharding, op10_language_id, op12_conversation_trie,
-        op13_html_extraction,
+        op7_toxicity, op8_packing, op9_sharding, op10_language_id, op11_collocations,
+        op12_conversation_trie, op13_html_extraction,
     )
 }
 

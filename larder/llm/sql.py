@@ -157,10 +157,41 @@ SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_chi
 FROM nodes JOIN sums USING (path) LEFT JOIN up USING (path) LEFT JOIN down USING (path)
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+found AS (
+  SELECT lang, 1 AS size, w[i] AS phrase FROM starts
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM starts WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM starts WHERE i + 2 <= len(w)),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM found GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+phrases AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, size, n AS a, w, k, array_to_string(w[:k], ' ') AS left_part, array_to_string(w[k + 1:], ' ') AS right_part
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM phrases)),
+scored AS (
+  SELECT c.*, x.n AS l, y.n AS r, (1000000::HUGEINT * a * a // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = left_part JOIN f y ON y.lang = c.lang AND y.phrase = right_part),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, part AS phrase, max(n) AS longer FROM (
+    SELECT lang, n, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM phrases WHERE size = 3) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, total.n AS n, score
+FROM worst LEFT JOIN inside USING (lang, phrase) JOIN total USING (lang)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": CHAT,
     "op2_hyperminhash": NEAR_COPIES,
     "op4_fingerprints": FINGERPRINTS,
     "op6_decontamination": DECONTAMINATION,
+    "op11_collocations": COLLOCATIONS,
     "op12_conversation_trie": CONVERSATION_TRIE,
 }
