@@ -196,55 +196,68 @@ class Groups:
 
 
 
-CELLS_A_ROW = 1 << 16
+STRETCH_BITS = 16
+_HITS_HELD = 1 << 20
 
 
-def cell_counts(
-    df: DataFrame, cells: Callable[[pa.RecordBatch], np.ndarray], width: int, most: int
-) -> np.ndarray:
-    """How often each cell 0..width-1 was hit over all rows, counted up to ``most`` (255 at most).
+def frequent_cells(df: DataFrame, hits: Callable[[pa.RecordBatch], np.ndarray], width: int, least: int) -> np.ndarray:
+    """Bits that say which of the cells 0..width-1 are hit ``least`` times or more (255 at most) by all rows.
 
-    ``cells`` gives the hits of a batch. A task counts in one array and hands over its non-zero
-    stretches, which are added up by stretch; the driver gets ``width`` bytes in the end.
+    ``hits`` gives the cells of a batch. Tasks hand over counts of the cells they hit, stretch by
+    stretch, and a second stage adds up the stretches, each in one task; so no task holds all
+    cells, and the driver gets ``width / 8`` bytes. ``width`` is a multiple of 8.
     """
+    mask = (1 << STRETCH_BITS) - 1
 
-    def add(total: np.ndarray, hits: list[np.ndarray]) -> None:
-        at, n = np.unique(np.concatenate(hits), return_counts=True)
-        total[at] = np.minimum(total[at] + n, most)
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        cells, n = np.unique(np.concatenate(held), return_counts=True)
+        stretch = cells >> STRETCH_BITS
+        begins = np.flatnonzero(np.r_[True, stretch[1:] != stretch[:-1]][: len(cells)])
+        ends = np.r_[begins, len(cells)].astype(np.int32)
+
+        def binary(values: np.ndarray) -> pa.Array:
+            offsets = pa.py_buffer((ends * values.itemsize).astype(np.int32).tobytes())
+            return pa.Array.from_buffers(pa.binary(), len(begins), [None, offsets, pa.py_buffer(values.tobytes())])
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array(stretch[begins]), binary((cells & mask).astype(np.uint16)), binary(np.minimum(n, least).astype(np.uint8))],
+            ["stretch", "cells", "counts"],
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size = np.zeros(width, np.uint8), [], 0
+        held, size = [], 0
         for batch in batches:
-            held.append(cells(batch))
+            held.append(hits(batch))
             size += len(held[-1])
-            if size > 1 << 20:
-                add(total, held)
+            if size > _HITS_HELD:
+                yield counted(held)
                 held, size = [], 0
-        if held:
-            add(total, held)
-        for start in range(0, width, CELLS_A_ROW):
-            stretch = total[start : start + CELLS_A_ROW]
-            if stretch.any():
-                yield pa.RecordBatch.from_pydict({"start": [start], "counts": [stretch.tobytes()]})
+        if size:
+            yield counted(held)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for start, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(counts.as_buffer(), np.uint8)
-                sums[start] = part if start not in sums else np.minimum(
-                    sums[start].astype(np.uint16) + part, most
-                ).astype(np.uint8)
-        for start, counts in sums.items():
-            yield pa.RecordBatch.from_pydict({"start": [start], "counts": [counts.tobytes()]})
-
-    schema = "start long, counts binary"
-    out = np.zeros(width, np.uint8)
-    for row in df.mapInArrow(count, schema).repartition("start").mapInArrow(merge, schema).toLocalIterator():
-        out[row.start : row.start + CELLS_A_ROW] = np.frombuffer(row.counts, np.uint8)
+            for stretch, cells, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                total = sums.setdefault(stretch, np.zeros(mask + 1, np.uint16))
+                at = np.frombuffer(cells, np.uint16)
+                total[at] = np.minimum(total[at] + np.frombuffer(counts, np.uint8), least)
+        for stretch, total in sums.items():
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_pydict({"stretch": [stretch], "bits": [bits]})
+
+    found = df.mapInArrow(count, "stretch long, cells binary, counts binary").repartition("stretch")
+    out = np.zeros(width // 8, np.uint8)
+    for row in found.mapInArrow(merge, "stretch long, bits binary").toLocalIterator():
+        part = out[row.stretch << STRETCH_BITS >> 3 :][: 1 << STRETCH_BITS >> 3]
+        part[:] = np.frombuffer(row.bits, np.uint8)[: len(part)]
     return out
 
 
+def has_bit(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (bits[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def shared_array(df: DataFrame, array: np.ndarray) -> Callable[[], np.ndarray]:
     """The array, sent once to every executor; tasks call the result to read it."""
     kind, sent = array.dtype, df.sparkSession.sparkContext.broadcast(array.tobytes())

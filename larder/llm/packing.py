@@ -27,7 +27,7 @@ MOST_PATTERNS = 16_384
 ROUNDS = 100
 RANK_BLOCK = 1024
 _PARTS = 64
-_WORDS_KEPT = 200_000
+_WORDS_KEPT = 1_000_000
 _MARKS = ".,;:!?%&#$*|"
 # Letters below this one are composed already and have one plain lower-case letter each.
 _COMPOSED = "\u0130"
@@ -162,62 +162,47 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Tokens:
-    """Token ids as little-endian bytes, with the ids of recent words kept.
+class _Tokens(dict):
+    """Token ids as little-endian bytes, by word; the ids of recent words are kept.
 
     The vocabulary drops white space and never joins across it, so a text is the sum of its
-    words. A word of letters and trailing marks is the sum of both; its parts go through the
-    steps of the tokenizer one by one, which is much cheaper than a whole encoding.
+    words. A word of letters that no normalization touches but lower-casing, with marks behind
+    them, is the sum of both: each is one piece for the model. Any other word is encoded whole.
     """
 
     def __init__(self, tokenizer_path: str):
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
-        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            if len(self.parts) > _WORDS_KEPT:
-                self.parts.clear()
-            normalizer, splitter, model = self.steps
-            plain = part if max(part) < _COMPOSED else normalizer.normalize_str(part)
-            if plain.isalpha():  # one piece: its bytes in the letters of the vocabulary
-                pieces = [plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTE_LETTERS)]
-            else:
-                pieces = [piece for piece, _ in splitter.pre_tokenize_str(plain)]
-            ids = [token.id for piece in pieces for token in model.tokenize(piece)]
-            found = self.parts[part] = _packed(ids)
+            piece = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found = self.parts[part] = _packed([token.id for token in self.tokenizer.model.tokenize(piece)])
         return found
 
-    def _word(self, word: str) -> bytes:
+    def __missing__(self, word: str) -> bytes:
         body = word.rstrip(_MARKS)
-        if body.isalpha():
-            marks = word[len(body) :]
-            found = self._part(body.lower() if max(body) < _COMPOSED else body)
-            if marks:
-                found += self._part(marks)
-        else:  # may hold a special token, which only the whole encoding knows
+        if body.isalpha() and max(body) < _COMPOSED:
+            found = self._part(body.lower())
+            if len(body) < len(word):
+                found += self._part(word[len(body) :])
+        else:  # may hold a special token or a letter that changes, which only the whole encoding knows
             found = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        self.words[word] = found
+        self[word] = found
         return found
 
     def forget(self) -> None:
-        self.words.clear()
+        self.clear()
         self.parts.clear()
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if len(self.words) > _WORDS_KEPT:
-            self.words.clear()
-        get = self.words.get
-        found = [get(w) for w in words]
-        if None in found:
-            found = [self._word(w) if x is None else x for w, x in zip(words, found)]
-        return b"".join(found)
+        if len(self) > _WORDS_KEPT:
+            self.forget()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _TOKENS: dict[str, _Tokens] = {}

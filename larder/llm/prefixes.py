@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.grouping import numbered_within
-from larder.llm.common import cell_counts, shared_array, stored, width_for
+from larder.llm.common import frequent_cells, has_bit, shared_array, stored, width_for
 
 BLOCK_BITS = 12  # turns of one conversation are sorted and summed in blocks of this many bits
 SKETCH_ROWS = 3
-MOST_CELLS = 1 << 24  # cells of a row of the sketch, one byte each; the sketch grows up to that
+MOST_CELLS = 1 << 26  # cells of a row of the sketch, one bit each; the sketch grows up to that
 LEAST_CELLS = 1 << 12
 HOT_SHARE = 10_000  # a node with more than one in so many of all prefixes is broadcast: so many at most
 IDS_A_CHUNK_BITS = 8
@@ -145,13 +145,13 @@ def screened(prefixes: DataFrame, most_cells: int = MOST_CELLS) -> DataFrame:
     def hits(batch: pa.RecordBatch) -> np.ndarray:
         return _cells(np.asarray(batch.column(0)), np.asarray(batch.column(1)), width).ravel()
 
-    sketch = shared_array(prefixes, cell_counts(keys, hits, SKETCH_ROWS * width, 2))
+    sketch = shared_array(prefixes, frequent_cells(keys, hits, SKETCH_ROWS * width, 2))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = sketch()
+        repeated = sketch()
         for batch in batches:
             cells = _cells(np.asarray(batch.column("key_one")), np.asarray(batch.column("key_two")), width)
-            alone = counts[cells].min(axis=0) == 1
+            alone = ~has_bit(repeated, cells).all(axis=0)  # a cell that was hit once bounds the count by one
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv_id"), batch.column("depth"), pa.array(alone)], ["conv_id", "depth", "alone"]
             )

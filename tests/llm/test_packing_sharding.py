@@ -38,6 +38,19 @@ def test_plan_is_near_the_lower_bound():
     assert sum(n for _, n in rows) <= 1.002 * -(-int(lengths.sum()) // 2048) + 1
 
 
+def test_ids_are_those_of_the_tokenizer_for_every_code_point():
+    """Alone, behind a letter and before a mark; surrogates are no characters."""
+    path = public_tokenizers.path(packing.TOKENIZER)
+    tokenizer, own = Tokenizer.from_file(path), packing._Tokens(path)
+    points = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [form.format(c) for c in points for form in ("{}", "a{}", "{}.", "A{}b,")]
+    texts += [a + b + "." for a in "İक़éE.'" for b in "\u0301\u093c\u0307'|"]
+    for start in range(0, len(texts), 50_000):
+        part = texts[start : start + 50_000]
+        for text, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            assert own(text) == packing._packed(found.ids), ascii(text)
+
+
 def _check(out, docs):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     want = Counter()
