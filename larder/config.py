@@ -113,15 +113,44 @@ class TreeSettings:
     """Size of a boosted-tree model.
 
     Operators, the daily run and the queries share one size per model. Boosting is sequential:
-    every round is a pass over the data, so rounds are few and steps are larger (SURVEY 2.13).
+    every round is a pass over the data, so steps are large (SURVEY 2.13). ``trees`` is the most
+    rounds; those after the least error on a held-back fold are left out.
     """
 
     trees: int
     depth: int
     rate: float
     seed: int = 7
+    least_rows: int = 1  # rows of a leaf
+    most_rows: int = 200_000  # labelled rows a model is fitted on at most, picked by the hash of their key
+    patience: int = 2  # rounds without gain on the held-back fold before growing ends
 
 
 PHANTOM_TREES = TreeSettings(trees=20, depth=6, rate=0.2)
 DEMAND_TREES = TreeSettings(trees=20, depth=6, rate=0.2)
 WEATHER_TREES = TreeSettings(trees=20, depth=5, rate=0.2)
+QUANTILE_TREES = TreeSettings(trees=4, depth=3, rate=0.6, least_rows=20, patience=1)
+
+
+@dataclass(frozen=True)
+class DecompositionSettings:
+    """Split of a series: places where the trend may bend, order of the waves, and how much both are held small."""
+
+    bends: int = 8
+    bent_share: float = 0.8  # the last part of the series keeps its slope
+    week_order: int = 3
+    year_order: int = 4
+    line_penalty: float = 1e-6
+    bend_penalty: float = 0.1
+    wave_penalty: float = 0.01
+
+
+@dataclass(frozen=True)
+class ResolutionSettings:
+    """Identity of materials without a barcode."""
+
+    gram: int = 3
+    least_similarity: float = 0.5
+    similarity_steps: tuple[float, ...] = (0.6, 0.75, 0.9)
+    least_probability: float = 0.5
+    most_probability: float = 0.999

@@ -7,12 +7,12 @@ the days of the history.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from larder import config
 from larder.functions.grouping import exact_quantiles
 from larder.functions.quantities import clipped, guarded_ratio
+from larder.operators.boosting import grown, prepared
+from larder.operators.decompose import changing_components
 from larder.operators.gold import attach_sku
 from larder.operators.phantom import NoRowsError
+from larder.operators.quantile_trees import pinball_loss, quantile_predict, quantile_train
 from larder.session import work_dir
 
 KEYS = list(config.KEYS)
@@ -165,7 +168,7 @@ def m1_training_rows(
     min_days: int = config.TRAIN_MIN_DAYS,
 ) -> DataFrame:
     """Inputs and targets of the base forecast; incomplete rows drop out."""
-    split = seasonal_components(history_gate(series, min_days))
+    split = changing_components(history_gate(series, min_days))
     framed = forward_demand(stock_context(calendar_features(split, holidays), stock))
     targets = [f"demand_{h}d" for h in config.HORIZONS]
     return framed.dropna(subset=[*targets, *config.DEMAND_FEATURES]).withColumns(
@@ -183,7 +186,7 @@ def m1_scoring_rows(
     """Last row of each series with the calendar of the run date."""
     newest = Window.partitionBy(*KEYS).orderBy(F.col("ds").desc())
     last = (
-        seasonal_components(history_gate(series, min_days))
+        changing_components(history_gate(series, min_days))
         .withColumn("_rank", F.row_number().over(newest))
         .filter("_rank = 1")
         .select(*KEYS, "trend", "weekly", "yearly")
@@ -191,32 +194,11 @@ def m1_scoring_rows(
     return stock_context(calendar_features(last, holidays, F.lit(run_date)), stock)
 
 
-def _prepared(inputs: Sequence[str], rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    """Means for missing inputs and one vector per row; the rows are written once for all fits."""
-    filled = [f"{c}_filled" for c in inputs]
-    steps = [
-        Imputer(inputCols=list(inputs), outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled, outputCol="_inputs"),
-    ]
-    model = Pipeline(stages=steps).fit(rows)
-    path = work_dir(rows.sparkSession, "prepared")
-    model.transform(rows).drop(*filled).write.parquet(path)
-    return model, rows.sparkSession.read.parquet(path)
-
-
 def _fit(
     steps: PipelineModel, rows: DataFrame, target: str, output: str, trees: config.TreeSettings
 ) -> PipelineModel:
-    grower = GBTRegressor(
-        featuresCol="_inputs",
-        labelCol=target,
-        predictionCol=output,
-        maxIter=trees.trees,
-        maxDepth=trees.depth,
-        stepSize=trees.rate,
-        seed=trees.seed,
-    )
-    return PipelineModel([*steps.stages, grower.fit(rows)])
+    model = grown(GBTRegressor(labelCol=target, predictionCol=output), rows, trees)
+    return PipelineModel([*steps.stages, model])
 
 
 def _as_doubles(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -228,16 +210,19 @@ def m1_train(
     trees: config.TreeSettings = config.DEMAND_TREES,
     horizons: Sequence[int] = config.HORIZONS,
 ) -> dict[int, PipelineModel]:
-    """One boosted-tree regressor per horizon, fitted side by side on the same prepared rows."""
+    """One boosted-tree regressor per horizon, fitted side by side on the same prepared rows.
+
+    A fold of sites and SKUs is held back and ends the growing.
+    """
     rows = _as_doubles(training, config.DEMAND_FEATURES)
     if rows.isEmpty():
         raise NoRowsError("no series is long enough to train on")
-    steps, prepared = _prepared(config.DEMAND_FEATURES, rows)
+    steps, ready = prepared(config.DEMAND_FEATURES, rows, KEYS, most=trees.most_rows, by=[c for c in (*KEYS, "ds") if c in rows.columns])
     with ThreadPoolExecutor(len(horizons)) as pool:
         fits = {
             h: pool.submit(
                 inheritable_thread_target(rows.sparkSession)(_fit),
-                steps, prepared, f"demand_{h}d", f"raw_{h}d", trees,
+                steps, ready, f"demand_{h}d", f"raw_{h}d", trees,
             )
             for h in horizons
         }
@@ -313,6 +298,60 @@ def recent_sales(
     )
 
 
+def hold_out_forecasts(
+    series: DataFrame,
+    stock_at: Callable[[dt.date], DataFrame],
+    holidays: DataFrame,
+    origins: Sequence[dt.date],
+    trees: config.TreeSettings = config.DEMAND_TREES,
+    min_days: int = config.TRAIN_MIN_DAYS,
+) -> DataFrame:
+    """Forecasts made on past days with the demand that followed, one fold per origin.
+
+    Series, their split, stock, targets and models of a fold know days up to its origin only. Demand
+    is that of the next n rows of the series, as in ``forward_demand``, and NULL where fewer follow.
+    Gives keys, fold, origin, forecast_<n>d and demand_<n>d.
+    """
+    if not origins:
+        raise NoRowsError("no origin to forecast from")
+    folds = []
+    for number, origin in enumerate(origins):
+        known, stock = series.filter(F.col("ds") <= F.lit(origin)), stock_at(origin)
+        models = m1_train(m1_training_rows(known, holidays, stock, min_days), trees)
+        forecasts = m1_score(models, m1_scoring_rows(known, holidays, stock, origin))
+        place = F.row_number().over(_series().orderBy("ds"))
+        ahead = series.filter(F.col("ds") > F.lit(origin)).withColumn("_place", place).filter(F.col("_place") <= max(config.HORIZONS))
+        later = ahead.groupBy(*KEYS).agg(*[
+            F.when(F.count(F.lit(1)) >= h, F.sum(F.when(F.col("_place") <= h, F.greatest(F.col("y").cast("double"), F.lit(0.0)))))
+            .alias(f"demand_{h}d")
+            for h in config.HORIZONS
+        ])
+        folds.append(forecasts.join(later, KEYS, "left").withColumns({"fold": F.lit(number), "origin": F.lit(origin)}))
+    return reduce(DataFrame.unionByName, folds)
+
+
+def hold_out_error(
+    scored: DataFrame, limits: config.ForecastLimits = config.ForecastLimits()
+) -> DataFrame:
+    """Per fold and horizon: rows, mean absolute error, mean demand, their ratio, and the release gate."""
+    rows = F.array(*[
+        F.struct(F.lit(h).alias("horizon_days"), F.col(f"forecast_{h}d").alias("forecast"), F.col(f"demand_{h}d").alias("actual"))
+        for h in config.HORIZONS
+    ])
+    share = F.when(F.col("mean_demand") > 0, F.col("mae") / F.col("mean_demand"))
+    return (
+        scored.select("fold", F.inline(rows))
+        .groupBy("fold", "horizon_days")
+        .agg(
+            F.count("actual").alias("n_rows"),
+            F.avg(F.abs(F.col("forecast") - F.col("actual"))).alias("mae"),
+            F.avg("actual").alias("mean_demand"),
+        )
+        .withColumn("mae_share", share)
+        .withColumn("passes", F.coalesce(F.col("mae_share") <= limits.mae_share_gate, F.lit(False)))
+    )
+
+
 def forecast_error(
     forecasts: DataFrame,
     actuals: DataFrame,
@@ -430,8 +469,8 @@ def weather_train(
     """Lift as a function of the two weather distances."""
     if rows.isEmpty():
         raise NoRowsError("no lifts to train on")
-    steps, prepared = _prepared(_WEATHER_INPUTS, rows)
-    return _fit(steps, prepared, "actual_lift", "_raw_lift", trees)
+    steps, ready = prepared(_WEATHER_INPUTS, rows)
+    return _fit(steps, ready, "actual_lift", "_raw_lift", trees)
 
 
 def weather_lift(model: PipelineModel, summary: DataFrame) -> DataFrame:
@@ -522,15 +561,53 @@ def residual_quantiles(residuals: DataFrame, categories: DataFrame) -> DataFrame
     return quantiles.withColumnsRenamed({n: f"residual_{n}" for n in config.QUANTILES})
 
 
+def residual_trees(
+    residuals: DataFrame, trees: config.TreeSettings = config.QUANTILE_TREES, by: Sequence[str] = KEYS
+) -> DataFrame:
+    """Quantile trees of the residual over forecasts and lifts, as a model table.
+
+    ``by`` names the columns whose hash deals the held-back fold. With few residuals the table is empty or holds one overall value per quantile.
+    """
+    return quantile_train(residuals, _CORRECTED, "residual_7d", by, config.QUANTILES, trees)
+
+
+def predicted_residuals(model: DataFrame, corrected: DataFrame) -> DataFrame:
+    """Adds ``tree_<quantile>`` of the residual to every corrected forecast."""
+    return quantile_predict(model, corrected, _CORRECTED, "tree_{}")
+
+
+def quantile_scores(predicted: DataFrame, actual: str, names: dict[str, str]) -> DataFrame:
+    """Per quantile: rows, share of values at or below the estimate, and mean pinball loss.
+
+    ``names`` maps the quantiles to the columns of their estimates.
+    """
+    value = F.col(actual).cast("double")
+    rows = F.array(*[
+        F.struct(
+            F.lit(q).alias("quantile"), (value <= F.col(c)).cast("int").alias("covered"),
+            pinball_loss(value, F.col(c), config.QUANTILES[q]).alias("loss"),
+        )
+        for q, c in names.items()
+    ])
+    return predicted.select(F.inline(rows)).groupBy("quantile").agg(
+        F.count("loss").alias("n_rows"), F.avg("covered").alias("coverage"), F.avg("loss").alias("pinball_loss")
+    )
+
+
 def quantile_forecast(
-    corrected: DataFrame, categories: DataFrame, quantiles: DataFrame
+    corrected: DataFrame, categories: DataFrame, quantiles: DataFrame, model: DataFrame | None = None
 ) -> DataFrame:
-    """Corrected week plus residual quantiles of the category, in ascending order.
+    """Corrected week plus residual quantiles, in ascending order.
 
-    Categories without residuals use the overall quantiles.
+    The quantiles come from the trees of ``model`` where they give one. Elsewhere they are those of
+    the category, and categories without residuals use the overall quantiles.
     """
     names = list(config.QUANTILES)
     overall = quantiles.filter(F.col("category") == GLOBAL_GROUP)
+    if model is None:
+        corrected = corrected.withColumns({f"tree_{n}": F.lit(None).cast("double") for n in names})
+    else:
+        corrected = predicted_residuals(model, corrected)
     joined = (
         corrected.join(categories.select(*KEYS, "category"), KEYS, "left")
         .join(quantiles.filter(F.col("category") != GLOBAL_GROUP), "category", "left")
@@ -538,7 +615,7 @@ def quantile_forecast(
             {
                 n: clipped(
                     F.col("corrected_7d")
-                    + F.coalesce(F.col(f"residual_{n}"), overall.select(f"residual_{n}").scalar()),
+                    + F.coalesce(F.col(f"tree_{n}"), F.col(f"residual_{n}"), overall.select(f"residual_{n}").scalar()),
                     low=0.0,
                 )
                 for n in names

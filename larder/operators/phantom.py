@@ -5,9 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +15,9 @@ from larder import config
 from larder.functions.documents import document_sections
 from larder.functions.grouping import latest_per_key, numbered_within
 from larder.functions.quantities import QUANTITY, guarded_ratio, sale_quantity, signed_quantity
+from larder.operators.backtest import Fold, rolling_origin
+from larder.operators.boosting import grown, prepared
+from larder.operators.explain import explained
 from larder.operators.features import sales_per_key, shelf_life_by_sku
 from larder.operators.gold import attach_sku
 
@@ -189,21 +191,16 @@ def phantom_train(
     trees: config.TreeSettings = config.PHANTOM_TREES,
     columns: Sequence[str] = config.PHANTOM_FEATURES,
 ) -> PipelineModel:
-    """Boosted-tree classifier; missing inputs take the mean and raise their flag."""
-    filled = [f"{c}_filled" for c in columns]
-    stages = [
-        Imputer(inputCols=list(columns), outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled + [f"{c}_missing" for c in columns], outputCol="inputs"),
-        GBTClassifier(
-            featuresCol="inputs",
-            labelCol="is_phantom",
-            maxIter=trees.trees,
-            maxDepth=trees.depth,
-            stepSize=trees.rate,
-            seed=trees.seed,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(model_inputs(training, columns))
+    """Boosted-tree classifier; missing inputs take the mean and raise their flag.
+
+    Prepared rows are written once. A fold of sites and SKUs is held back and ends the growing.
+    Beyond ``trees.most_rows`` labelled rows, that many are picked by the hash of key and day.
+    """
+    by = [*KEYS, "label_date"] if "label_date" in training.columns else KEYS
+    flags = [f"{c}_missing" for c in columns]
+    inputs = model_inputs(training, columns)
+    steps, ready = prepared(columns, inputs, KEYS, flags, trees.most_rows, by)
+    return PipelineModel([*steps.stages, grown(GBTClassifier(labelCol="is_phantom"), ready, trees)])
 
 
 def phantom_score(
@@ -212,13 +209,26 @@ def phantom_score(
     columns: Sequence[str] = config.PHANTOM_FEATURES,
     limits: config.PhantomLimits = LIMITS,
 ) -> DataFrame:
-    """Probability and band per site and SKU; an empty input is an error."""
+    """Probability, band and explanation per site and SKU; an empty input is an error.
+
+    ``shap_values`` are the Shapley values of this model for the row, as JSON text by column: what
+    each column adds to the margin (half the log odds) over its mean.
+    """
+    scored = phantom_explained(model, features, columns)
+    return phantom_banding(scored.select(*KEYS, "phantom_score", "shelf_life_days", "shap_values"), limits)
+
+
+def phantom_explained(
+    model: PipelineModel, features: DataFrame, columns: Sequence[str] = config.PHANTOM_FEATURES
+) -> DataFrame:
+    """Features with ``phantom_score``, its ``margin``, and ``base`` and ``contributions`` that add up to it."""
     if features.isEmpty():
         raise NoRowsError("no feature rows to score")
-    scored = model.transform(model_inputs(features, columns)).withColumn(
-        "phantom_score", vector_to_array("probability")[1]
-    )
-    return phantom_banding(scored.select(*KEYS, "phantom_score", "shelf_life_days"), limits)
+    inputs = model_inputs(features, columns)
+    scored = model.transform(inputs).withColumns({
+        "phantom_score": vector_to_array("probability")[1], "margin": vector_to_array("rawPrediction")[1],
+    })
+    return explained(model, scored, columns)
 
 
 def phantom_banding(scores: DataFrame, limits: config.PhantomLimits = LIMITS) -> DataFrame:
@@ -359,6 +369,25 @@ def writeback_metrics(audit: DataFrame) -> DataFrame:
     )
 
 
+def backtest_scores(
+    training: DataFrame,
+    origins: Sequence[Fold],
+    trees: config.TreeSettings = config.PHANTOM_TREES,
+    limits: config.PhantomLimits = LIMITS,
+) -> DataFrame:
+    """Scores of past days, each by a model that saw the labels of earlier days only.
+
+    ``training`` holds features and labels per key and ``label_date``.
+    """
+
+    def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+        scored = model.transform(model_inputs(rows, config.PHANTOM_FEATURES))
+        scored = scored.withColumn("phantom_score", vector_to_array("probability")[1])
+        return phantom_banding(scored.select(*KEYS, "label_date", "phantom_score"), limits)
+
+    return rolling_origin(training, "label_date", origins, lambda known: phantom_train(known, trees), score)
+
+
 def backtest_precision(
     scores: DataFrame, labels: DataFrame, limits: config.PhantomLimits = LIMITS
 ) -> DataFrame:

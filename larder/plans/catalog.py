@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -13,6 +14,8 @@ from larder import config
 from larder.functions.calendar import dutch_public_holidays
 from larder.functions.quantities import sale_quantity, signed_quantity
 from larder.operators import (
+    backtest,
+    decompose,
     demand,
     edi,
     features,
@@ -21,6 +24,7 @@ from larder.operators import (
     ordering,
     phantom,
     quality,
+    resolve,
     review,
     silver,
     sweep,
@@ -290,6 +294,61 @@ _AUDIT_COLUMNS = (
 )
 
 
+_GRAMS = """CASE WHEN plain='' THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, greatest(length(plain), 1)+1),
+  lambda i: substr(' '||plain||' ', i, 3))) END"""
+oracle.VIEWS["resolvable"] = f"""
+SELECT *, {_GRAMS} AS g FROM (SELECT sap_material_number AS id, ean_barcode, base_uom, material_group, material_type, shelf_life_days,
+  trim(regexp_replace(lower(coalesce(material_description,'')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS plain FROM registry)"""
+oracle.VIEWS["alike"] = """
+SELECT u.id AS left_id, k.id AS right_id, len(list_intersect(u.g, k.g)) AS shared, len(u.g) AS n, len(k.g) AS m,
+  CASE WHEN u.base_uom IS NULL OR k.base_uom IS NULL THEN 2 WHEN u.base_uom=k.base_uom THEN 1 ELSE 0 END AS base_uom,
+  CASE WHEN u.material_group IS NULL OR k.material_group IS NULL THEN 2 WHEN u.material_group=k.material_group THEN 1 ELSE 0 END AS material_group,
+  CASE WHEN u.material_type IS NULL OR k.material_type IS NULL THEN 2 WHEN u.material_type=k.material_type THEN 1 ELSE 0 END AS material_type,
+  CASE WHEN u.shelf_life_days IS NULL OR k.shelf_life_days IS NULL THEN 2 WHEN u.shelf_life_days=k.shelf_life_days THEN 1 ELSE 0 END AS shelf_life_days
+FROM resolvable u JOIN resolvable k ON u.ean_barcode IS NULL AND k.ean_barcode IS NOT NULL AND len(u.g)>0 AND len(k.g)>0
+  AND 2*len(u.g)>=len(k.g) AND 2*len(k.g)>=len(u.g)
+WHERE len(list_intersect(u.g, k.g))/(len(u.g)+len(k.g)-len(list_intersect(u.g, k.g)))>=0.5"""
+
+
+@query(
+    "resolution_pairs",
+    """SELECT left_id, right_id, round(shared/(n+m-shared),6)+0e0 AS similarity, (shared/(n+m-shared)>=0.6)::INT
+         +(shared/(n+m-shared)>=0.75)::INT+(shared/(n+m-shared)>=0.9)::INT AS similarity_level,
+         base_uom, material_group, material_type, shelf_life_days FROM alike""",
+)
+def _(s: Star) -> DataFrame:
+    """Materials without a barcode against all that have one: every pair of similar descriptions, compared."""
+    records = s.registry.select(
+        F.col("sap_material_number").alias("id"), "ean_barcode", resolve.grams(F.col("material_description")).alias("grams"), *resolve.FIELDS
+    )
+    found = resolve.candidate_pairs(records.filter("ean_barcode IS NULL"), records.filter("ean_barcode IS NOT NULL"))
+    return rounded(resolve.compared(found, records), "similarity")
+
+
+@query(
+    "sku_resolution",
+    """SELECT r.sap_material_number, r.ean_barcode, r.ean_barcode IS NOT NULL AS is_exact, true AS agrees
+       FROM registry r""",
+)
+def _(s: Star) -> DataFrame:
+    """The registry after resolution: barcodes stay at 1, others have a probability below 1 and the id of
+    a partner, or keep their own id at 0."""
+    known = s.registry.filter("ean_barcode IS NOT NULL").select(
+        F.col("sap_material_number").alias("resolved_to"), F.col("unified_sku_id").alias("_partner")
+    )
+    found = resolve.sku_resolution(s.registry).join(known, "resolved_to", "left")
+    own = s.registry.select("sap_material_number", F.col("unified_sku_id").alias("_own"))
+    exact, sure = F.col("ean_barcode").isNotNull(), F.col("match_confidence")
+    agrees = (
+        F.when(exact, (sure == 1.0) & (F.col("unified_sku_id") == F.col("_own")) & F.col("resolved_to").isNull())
+        .when(F.col("resolved_to").isNull(), (sure == 0.0) & (F.col("unified_sku_id") == F.col("_own")))
+        .otherwise((sure >= 0.5) & (sure < 1.0) & (F.col("unified_sku_id") == F.col("_partner")))
+    )
+    return found.join(own, "sap_material_number").select(
+        "sap_material_number", "ean_barcode", exact.alias("is_exact"), agrees.alias("agrees")
+    )
+
+
 @query(
     "publish_append",
     f"""SELECT {_AUDIT_COLUMNS} FROM order_audit
@@ -630,6 +689,27 @@ def _(s: Star) -> DataFrame:
     )
 
 
+@query(
+    "phantom_explained",
+    """SELECT werks, unified_sku_id, 8 AS n_columns, true AS adds_up, true AS explains_score, true AS in_scores FROM feats""",
+)
+def _(s: Star) -> DataFrame:
+    """Shapley values of the fitted trees: with the base they are the margin of every row, the margin
+    gives the score, and the scores carry them."""
+    model = _phantom_model(s)
+    rows = phantom.phantom_explained(model, s.features)
+    total = F.aggregate(F.map_values("contributions"), F.col("base"), lambda a, b: a + b)
+    share = 1 / (1 + F.exp(-2 * F.col("margin")))
+    told = phantom.phantom_score(model, s.features).select(*KEYS, F.col("shap_values").alias("_told"))
+    return rows.join(told, KEYS).select(
+        *KEYS,
+        F.size("contributions").alias("n_columns"),
+        (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"),
+        (F.abs(share - F.col("phantom_score")) < 1e-9).alias("explains_score"),
+        (F.col("_told") == F.col("shap_values")).alias("in_scores"),
+    )
+
+
 _SCORE_COLUMNS = "werks, unified_sku_id, phantom_score, is_phantom, action, shelf_life_days"
 
 
@@ -773,6 +853,63 @@ def _(s: Star) -> DataFrame:
     return phantom.backtest_precision(scores, replayed)
 
 
+BACKTEST = {"n": 3, "days": 15}
+
+
+def _backtest_scores(s: Star) -> DataFrame:
+    rows = lambda: s.published("phantom_training_replayed", lambda: _replayed_training(s))
+    first = s.reference_date - dt.timedelta(days=config.PhantomLimits().replay_days - 1)
+    origins = backtest.folds(first, s.reference_date, **BACKTEST)
+    return s.published("backtest_scores", lambda: phantom.backtest_scores(rows(), origins))
+
+
+_FOLD = f"({oracle.REF}-label_date)//{BACKTEST['days']}"
+
+
+@query(
+    "backtest_rolling",
+    f"""SELECT fold, count(*) AS n_scored, sum(is_phantom)::BIGINT AS n_phantom, min(label_date) AS first_day,
+          max(label_date) AS last_day, min(label_date)-1 AS known_until, true AS is_share, true AS flags_agree, true AS beats_chance
+        FROM (SELECT *, ({BACKTEST['n'] - 1}-{_FOLD})::INT AS fold FROM replayed_training) WHERE fold>=0 GROUP BY fold""",
+)
+def _(s: Star) -> DataFrame:
+    """Days of the last weeks scored by models of the days before: what each fold scored and knew, and
+    whether rows of phantoms score higher than others."""
+    scores = _backtest_scores(s)
+    labels = s.published("phantom_training_replayed", lambda: _replayed_training(s))
+    judged = scores.join(labels.select(*KEYS, "label_date", F.col("is_phantom").alias("label")), [*KEYS, "label_date"])
+    score, label = F.col("phantom_score"), F.col("label")
+    mean = lambda value: F.avg(F.when(label == value, score))
+    return judged.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.sum(label.cast("long")).alias("n_phantom"),
+        F.min("label_date").alias("first_day"),
+        F.max("label_date").alias("last_day"),
+        F.max("known_until").alias("known_until"),
+        F.bool_and(score.between(0.0, 1.0)).alias("is_share"),
+        F.bool_and(F.col("is_phantom") == (score >= 0.85)).alias("flags_agree"),
+        F.coalesce(mean(1) > mean(0), F.lit(True)).alias("beats_chance"),
+    )
+
+
+@query(
+    "backtest_rolling_precision",
+    """SELECT true AS within_rows, true AS share_agrees, true AS gate_agrees""",
+)
+def _(s: Star) -> DataFrame:
+    """Precision over all folds, recomputed from the flagged rows one by one."""
+    scores = _backtest_scores(s)
+    labels = s.published("phantom_training_replayed", lambda: _replayed_training(s)).select(*KEYS, "label_date", "is_phantom")
+    measured = phantom.backtest_precision(scores, labels)
+    flagged = scores.filter("is_phantom").join(labels.withColumnRenamed("is_phantom", "label"), [*KEYS, "label_date"])
+    hits, rows = (flagged.agg(x).scalar() for x in (F.count_if(F.col("label") == 1), F.count(F.lit(1))))
+    return measured.select(
+        ((F.col("true_positives") == hits) & (F.col("true_positives") + F.col("false_positives") == rows)).alias("within_rows"),
+        F.col("precision").eqNullSafe(F.when(rows > 0, hits / rows)).alias("share_agrees"),
+        (F.col("passes") == F.coalesce(hits / F.nullif(rows, F.lit(0)) >= 0.8, F.lit(False))).alias("gate_agrees"),
+    )
+
+
 # ---- demand ------------------------------------------------------------------------------------
 
 
@@ -803,6 +940,46 @@ def _(s: Star) -> DataFrame:
     return rounded(plain(split), "trend", "weekly", "yearly")
 
 
+def _ridge_check() -> str:
+    """Normal equations summed per series in SQL and solved by elimination."""
+    set_, penalty = config.DecompositionSettings(), decompose.penalties()
+    p = len(penalty)
+    bends = [set_.bent_share * (i + 1) / (set_.bends + 1) for i in range(set_.bends)]
+    wave = lambda period, order: [f"{f}(d*{2 * math.pi * k / period!r})" for k in range(1, order + 1) for f in ("sin", "cos")]
+    trend = ["1e0", "t", *[f"greatest(t-{b!r},0)" for b in bends]]
+    week, year = wave(decompose.WEEK, set_.week_order), wave(decompose.YEAR, set_.year_order)
+    at = [0, len(trend), len(trend) + len(week), p]
+    part = lambda a, b: " + ".join(f"w[{i + 1}]*x[{i + 1}]" for i in range(a, b))
+    return f"""
+WITH RECURSIVE given AS (
+  SELECT werks, unified_sku_id, ds, y::DOUBLE AS y, greatest(max(abs(y::DOUBLE)) OVER k, 1e-9) AS size,
+    date_diff('day', DATE '1970-01-01', ds)::DOUBLE AS d,
+    date_diff('day', min(ds) OVER k, ds)/greatest(date_diff('day', min(ds) OVER k, max(ds) OVER k),1)::DOUBLE AS t
+  FROM series WINDOW k AS (PARTITION BY werks, unified_sku_id) QUALIFY count(*) OVER k >= {config.SCORE_MIN_DAYS}),
+basis AS (SELECT *, [{', '.join([*trend, *week, *year])}]::DOUBLE[] AS x FROM given),
+sums AS (
+  SELECT werks, unified_sku_id, i, j, sum(x[i]*(CASE WHEN j<={p} THEN x[j] ELSE y/size END))
+    + CASE WHEN i=j THEN ({penalty!r}::DOUBLE[])[i] ELSE 0 END AS v
+  FROM basis, range(1,{p + 1}) a(i), range(1,{p + 2}) b(j) GROUP BY werks, unified_sku_id, i, j),
+lines AS (SELECT werks, unified_sku_id, i, list(v ORDER BY j) AS line FROM sums GROUP BY werks, unified_sku_id, i),
+elimination AS (
+  SELECT werks, unified_sku_id, 1 AS k, list(line ORDER BY i) AS m FROM lines GROUP BY werks, unified_sku_id
+  UNION ALL
+  SELECT werks, unified_sku_id, k+1, list_transform(m, lambda line, i: CASE WHEN i=k THEN list_transform(line, lambda v: v/m[k][k])
+    ELSE list_transform(line, lambda v, j: v - line[k]*(m[k][j]/m[k][k])) END) FROM elimination WHERE k<={p}),
+weights AS (SELECT werks, unified_sku_id, list_transform(m, lambda line: line[{p + 1}]) AS w FROM elimination WHERE k={p + 1})
+SELECT b.werks, b.unified_sku_id, ds, y, round(size*({part(at[0], at[1])}),3)+0e0 AS trend,
+  round(size*({part(at[1], at[2])}),3)+0e0 AS weekly, round(size*({part(at[2], at[3])}),3)+0e0 AS yearly
+FROM basis b JOIN weights v ON b.werks IS NOT DISTINCT FROM v.werks AND b.unified_sku_id IS NOT DISTINCT FROM v.unified_sku_id"""
+
+
+@query("changing_components", f"SELECT * FROM ({_ridge_check()})")
+def _(s: Star) -> DataFrame:
+    split = decompose.changing_components(demand.history_gate(s.series, config.SCORE_MIN_DAYS))
+    names = ("trend", "weekly", "yearly")
+    return plain(split).withColumns({c: F.round(c, 3) + 0.0 for c in names})
+
+
 def _holidays(s: Star) -> DataFrame:
     """Holidays of the years the series cover, and of the reference date."""
     years = s.series.agg(F.min(F.year("ds")), F.max(F.year("ds"))).first()
@@ -898,6 +1075,45 @@ def _(s: Star) -> DataFrame:
     )
 
 
+HOLD_OUT = (112, 56)  # days before the reference date
+
+
+@query(
+    "hold_out_demand",
+    " UNION ALL ".join(
+        f"""SELECT {i} AS fold, ({oracle.REF}-{back})::DATE AS origin, {h} AS horizon_days, count(*) AS n_rows,
+        round(avg(actual),6)+0e0 AS mean_demand, true AS errs_less_than_nothing, true AS share_agrees FROM (
+          SELECT sum(greatest(y,0)) FILTER (ds>{oracle.REF}-{back} AND place<={h})::DOUBLE AS actual FROM (
+            SELECT s.werks, s.unified_sku_id, ds, y, row_number() OVER (PARTITION BY s.werks, s.unified_sku_id, ds>{oracle.REF}-{back} ORDER BY ds) AS place
+            FROM series s JOIN kind_stock b ON s.werks=b.werks AND s.unified_sku_id=b.unified_sku_id)
+          GROUP BY werks, unified_sku_id
+          HAVING count(*) FILTER (ds<={oracle.REF}-{back})>=14 AND count(*) FILTER (ds>{oracle.REF}-{back})>={h})"""
+        for i, back in enumerate(HOLD_OUT) for h in config.HORIZONS
+    ),
+)
+def _(s: Star) -> DataFrame:
+    """Two stretches of four weeks, forecast by models that knew the days before only: what followed, and
+    whether the error is below that of forecasting nothing."""
+    def stock_at(day: dt.date) -> DataFrame:
+        past = s.movements.filter(F.col("BUDAT") <= F.lit(day))
+        rollup = s.published(f"kind_rollup_{day}", lambda: gold.movement_rollup(past, day, s.kinds))
+        return features.stock_features(gold.positions_of(rollup), gold.velocity_of(rollup))
+
+    origins = [s.reference_date - dt.timedelta(days=d) for d in HOLD_OUT]
+    scored = s.published(
+        "held_out_forecasts", lambda: demand.hold_out_forecasts(s.series, stock_at, _holidays(s), origins)
+    )
+    share = F.col("mae") / F.col("mean_demand")
+    days = scored.select("fold", "origin").distinct()
+    return rounded(
+        demand.hold_out_error(scored)
+        .join(days, "fold")
+        .withColumn("errs_less_than_nothing", F.col("mae") < F.col("mean_demand"))
+        .withColumn("share_agrees", (F.col("passes") == (share <= 0.15)) & (F.abs(F.col("mae_share") - share) < 1e-12)),
+        "mean_demand",
+    ).drop("mae", "mae_share", "passes")
+
+
 def _future(h: int) -> str:
     return f"sum(MENGE) FILTER (BUDAT <= {oracle.REF}+{h})::DOUBLE AS actual_{h}d"
 
@@ -1039,6 +1255,55 @@ def _(s: Star) -> DataFrame:
     return rounded(demand.residual_quantiles(s.residuals, s.master), *_RESIDUALS)
 
 
+def _weekly_residuals(s: Star) -> DataFrame:
+    """Every day of every series: the week that followed against the week before."""
+    in_order = Window.partitionBy(*KEYS).orderBy("ds")
+    back = {h: F.sum(F.col("y").cast("double")).over(in_order.rowsBetween(1 - h, 0)) for h in config.HORIZONS}
+    rows = demand.forward_demand(s.series).select(
+        *KEYS, "ds", F.col("demand_7d").cast("double").alias("actual_7d"),
+        *[c.alias(f"corrected_{h}d") for h, c in back.items()],
+        F.lit(1.0).alias("promo_lift"), F.lit(1.0).alias("weather_lift"),
+        F.count(F.lit(1)).over(in_order.rowsBetween(1 - max(config.HORIZONS), 0)).alias("_known"),
+    )
+    return rows.filter((F.col("_known") == max(config.HORIZONS)) & F.col("actual_7d").isNotNull()).withColumn(
+        "residual_7d", F.col("actual_7d") - F.col("corrected_7d")
+    )
+
+
+@query(
+    "residual_quantile_trees",
+    """SELECT quantile, count(*) AS n_rows, true AS covers, true AS beats_categories FROM (
+         SELECT ds, row_number() OVER (PARTITION BY werks, unified_sku_id ORDER BY ds) AS place,
+           count(*) OVER (PARTITION BY werks, unified_sku_id) AS n FROM series),
+       (VALUES ('p10'), ('p50'), ('p90')) q(quantile)
+       WHERE place>=28 AND n-place>=7 AND date_diff('day', DATE '1970-01-01', ds)%2=1 GROUP BY quantile""",
+)
+def _(s: Star) -> DataFrame:
+    """Trees fitted on the even days judge the odd ones: rows, whether the share below each quantile is right
+    within 3 points, and whether the loss is below that of the quantiles per category. The category of a
+    series is its material type."""
+    rows = s.published("weekly_residuals", lambda: _weekly_residuals(s))
+    odd = F.datediff("ds", F.lit("1970-01-01").cast("date")) % 2 == 1
+    by_kind = rows.select(*KEYS, F.col("unified_sku_id").alias("category")).distinct()
+    model = s.published("residual_trees", lambda: demand.residual_trees(rows.filter(~odd), by=[*KEYS, "ds"]))
+    known = demand.residual_quantiles(rows.filter(~odd), by_kind)
+    judged = (
+        demand.predicted_residuals(model, rows.filter(odd))
+        .withColumn("category", F.coalesce("unified_sku_id", F.lit(demand.GLOBAL_GROUP)))
+        .join(known, "category", "left")
+    )
+    judged = s.published("judged_residuals", lambda: judged)
+    ours = demand.quantile_scores(judged, "residual_7d", {n: f"tree_{n}" for n in config.QUANTILES})
+    theirs = demand.quantile_scores(judged, "residual_7d", {n: f"residual_{n}" for n in config.QUANTILES})
+    share = F.element_at(F.create_map(*[F.lit(x) for kv in config.QUANTILES.items() for x in kv]), F.col("quantile"))
+    return ours.join(theirs.select("quantile", F.col("pinball_loss").alias("_plain")), "quantile").select(
+        "quantile",
+        "n_rows",
+        (F.abs(F.col("coverage") - share) <= 0.03).alias("covers"),
+        (F.col("pinball_loss") < F.col("_plain")).alias("beats_categories"),
+    )
+
+
 _QUANTILE_COLUMNS = ["p10", "p50", "p90", "uncertainty_spread"]
 
 

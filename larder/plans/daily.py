@@ -138,25 +138,32 @@ def train_phantom(
 
 
 def score_phantom(
-    store: Store, max_corrections: int = config.PhantomLimits().max_auto_corrections
+    store: Store,
+    max_corrections: int = config.PhantomLimits().max_auto_corrections,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Scores, alerts, review rows, and the correction requests that may go out."""
+    """Scores, alerts, review rows, and the correction requests that may go out.
+
+    A run that is repeated, under its name or with the same rows, has its review rows once.
+    """
     model = PipelineModel.load(store.path("models/phantom"))
     scored = phantom.phantom_score(model, feature_vector(store)).withColumn(
         "_scored_at", F.current_timestamp()
     )
     scores = store.replace("gold/phantom_scores", scored)
     alerts = store.replace("gold/phantom_alerts", phantom.phantom_alerts(scores))
-    phantom.phantom_review_rows(scores).write.mode("append").parquet(
-        store.path("gold/phantom_review")
+    sinks.publish_run(
+        phantom.phantom_review_rows(scores), store.path("gold/phantom_review"), run_id, ignore=["_scored_at"]
     )
     return phantom.goods_movement_requests(phantom.writeback_cap(alerts, max_corrections))
 
 
-def record_corrections(store: Store, requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Appends the outcome of correction requests to their audit log; returns its counts."""
+def record_corrections(
+    store: Store, requests: DataFrame, responses: DataFrame, run_id: str | None = None
+) -> DataFrame:
+    """Appends the outcome of correction requests to their audit log once per run; returns its counts."""
     audit = phantom.writeback_audit(requests, ordering.po_confirmations(responses))
-    sinks.publish_append(audit, store.path("gold/writeback_audit"))
+    sinks.publish_run(audit, store.path("gold/writeback_audit"), run_id)
     return phantom.writeback_metrics(store.read("gold/writeback_audit"))
 
 
@@ -206,10 +213,19 @@ def learn_weather(store: Store, bodies: DataFrame) -> None:
     model.write().overwrite().save(store.path("models/weather"))
 
 
+def learn_quantiles(store: Store, trees: config.TreeSettings = config.QUANTILE_TREES) -> None:
+    """Fits the residual quantiles on the residuals of the last scoring."""
+    store.replace("models/residual_quantiles", demand.residual_trees(store.read("demand/m2_residuals"), trees))
+
+
+def _exists(store: Store, name: str) -> bool:
+    path = store.spark._jvm.org.apache.hadoop.fs.Path(store.path(name))
+    return path.getFileSystem(store.spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def _weather_lift(store: Store, bodies: DataFrame) -> Column:
     """The lift of the coming days as a scalar, 1.0 until a model has been fitted."""
-    path = store.spark._jvm.org.apache.hadoop.fs.Path(store.path("models/weather"))
-    if not path.getFileSystem(store.spark._jsc.hadoopConfiguration()).exists(path):
+    if not _exists(store, "models/weather"):
         return F.lit(1.0)
     summary = demand.weather_summary(weather_rows(bodies))
     lift = demand.weather_lift(PipelineModel.load(store.path("models/weather")), summary)
@@ -254,12 +270,16 @@ def score_demand(
     promo = demand.promo_lift(forecasts, actuals, calendar)
     lift = _weather_lift(store, weather) if isinstance(weather, DataFrame) else F.lit(float(weather))
     corrected = store.replace("demand/m2_corrected", demand.m2_corrected(forecasts, promo, lift))
-    residuals = demand.m2_residuals(corrected, actuals)
+    residuals = store.replace("demand/m2_residuals", demand.m2_residuals(corrected, actuals))
     quantiles = store.replace(
         "demand/residual_quantiles", demand.residual_quantiles(residuals, categories)
     )
     store.replace(
-        "demand/m4_probabilistic", demand.quantile_forecast(corrected, categories, quantiles)
+        "demand/m4_probabilistic",
+        demand.quantile_forecast(
+            corrected, categories, quantiles,
+            store.read("models/residual_quantiles") if _exists(store, "models/residual_quantiles") else None,
+        ),
     )
 
 
@@ -301,13 +321,14 @@ def order(
 
 
 def record_orders(
-    store: Store, requests: DataFrame, responses: DataFrame, day: dt.date
+    store: Store, requests: DataFrame, responses: DataFrame, day: dt.date, run_id: str | None = None
 ) -> None:
-    """Appends the outcome of requests to the audit log, partitioned by day."""
+    """Appends the outcome of requests to the audit log once per run, partitioned by run and day."""
     audit = ordering.po_audit(requests, ordering.po_confirmations(responses))
-    sinks.publish_append(
+    sinks.publish_run(
         audit.withColumn("_created_on", F.lit(day)),
         store.path("gold/po_audit"),
+        run_id,
         partition_by=["_created_on"],
     )
 

@@ -31,6 +31,21 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Puts the complete folder ``new`` in the place of ``target`` by renaming; the old one is removed last."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    source, place, old = jvm.Path(new), jvm.Path(target), jvm.Path(f"{target.rstrip('/')}__{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    moved = files.exists(place) and files.rename(place, old)
+    if not files.rename(source, place):
+        if moved:
+            files.rename(old, place)
+        raise OSError(f"{target} could not be replaced")
+    if moved:
+        files.delete(old, True)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -1,5 +1,5 @@
 import os
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
@@ -172,3 +172,33 @@ def test_no_forbidden_calls():
                 text = open(os.path.join(folder, name), encoding="utf-8").read()
                 for call in (".toPandas(", "localCheckpoint", "crossJoin", "@F.udf", "pandas_udf", ".rdd"):
                     assert call not in text, f"{name}: {call}"
+
+
+def test_a_repeated_run_leaves_one_set_of_rows(spark, rows, tmp_path):
+    target = f"{tmp_path}/log"
+    first = rows("a int, t timestamp", (1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 1)))
+    later = rows("a int, t timestamp", (2, datetime(2024, 1, 2)), (1, datetime(2024, 1, 2)))
+    other = rows("a int, t timestamp", (1, datetime(2024, 1, 1)), (3, None))
+    names = [sinks.publish_run(df, target, ignore=["t"]) for df in (first, later, other)]
+    assert names[0] == names[1] != names[2]
+    log = spark.read.parquet(target)
+    assert sorted((r.a, r._run_id) for r in log.collect()) == sorted([(1, names[0]), (2, names[0]), (1, names[2]), (3, names[2])])
+    assert log.filter("_created_at IS NULL").count() == 0
+    sinks.publish_run(other, f"{tmp_path}/parts", "day/1 & more", partition_by=["a"])
+    assert {r._run_id for r in spark.read.parquet(f"{tmp_path}/parts").collect()} == {"day/1 & more"}
+    sinks.publish_run(first, f"{tmp_path}/named", "r1")
+    sinks.publish_run(other.limit(0), f"{tmp_path}/named", "r1")
+    assert spark.read.parquet(f"{tmp_path}/named").count() == 0
+    assert sinks.publish_run(first, f"{tmp_path}/named", "r2") == "r2"
+    assert spark.read.parquet(f"{tmp_path}/named").count() == 2
+
+
+def test_a_lost_replacement_leaves_the_old_rows(spark, rows, tmp_path):
+    target = f"{tmp_path}/t"
+    sinks.publish_overwrite(rows("a int", (1,), (2,)), target)
+    broken = spark.read.parquet(target).withColumn("a", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish_overwrite(broken, target)
+    assert spark.read.parquet(target).count() == 2
+    sinks.publish_overwrite(spark.read.parquet(target).select((F.col("a") + 1).alias("a")), target)
+    assert sorted(r.a for r in spark.read.parquet(target).collect()) == [2, 3]
