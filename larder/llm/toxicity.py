@@ -24,9 +24,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from larder.llm.common import short_batches, slices, stored, with_struct
 
-# Bounds of the fit: labelled rows and lexicon entries.
+# Bound of the fit: labelled rows. The lexicon takes every entry of theirs that passes both limits.
 MOST_ROWS = 40_000
-MOST_ENTRIES = 400
 LEAST_TOXIC = 5
 LEAST_RATIO = 6.0
 BEGINNINGS = (4, 5, 6)
@@ -41,8 +40,8 @@ SECOND_PERSON = frozenset(
 NEAR = 4
 PLAIN = str.maketrans("013457@$!|", "oieastasii")
 _WORD = re.compile(r"\w+(?:[@$!|*.'-]+\w+)*")
+_PIECE = re.compile(r"\w+")
 _CACHE = 100_000
-_LONG = 40
 FEATURES = 16
 STRONG = 3.0
 # Capital letters and punctuation among the first 256 code points.
@@ -51,13 +50,16 @@ _MARKS = [ord(c) for c in "?.,;:*%&#$"]
 
 
 def entries_of(word: str) -> list[str]:
-    """The word and its beginnings, which end in a star."""
-    word = word[:_LONG]
-    return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
+    """The word, the pieces of a joined word, and the beginnings of all of them, which end in a star."""
+    found = [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
+    if not word.isalnum():
+        for piece in _PIECE.findall(word):
+            found += [piece, *(piece[:k] + "*" for k in BEGINNINGS if len(piece) > k)]
+    return found
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
-    """Entry to log ratio, at most MOST_ENTRIES, from rows (text, label)."""
+    """Entry to log ratio, from rows (text, label); their number bounds that of the entries."""
     schema = pa.schema([("entry", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,10 +80,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     n = labelled.agg(F.sum(F.col("label")), F.count(F.lit(1))).first()
     bad, good = max(int(n[0] or 0), 1), max(int(n[1] or 0) - int(n[0] or 0), 1)
     ratio = F.log(F.col("toxic") / bad / ((F.col("clean") + 0.5) / good))
-    best = (
-        seen.withColumn("ratio", ratio).filter(F.col("ratio") >= math.log(LEAST_RATIO))
-        .orderBy((F.col("ratio") * F.sqrt("toxic")).desc(), "entry").limit(MOST_ENTRIES)
-    )
+    best = seen.withColumn("ratio", ratio).filter(F.col("ratio") >= math.log(LEAST_RATIO))
     return {r["entry"]: float(r["ratio"]) for r in best.collect()}
 
 

@@ -134,3 +134,24 @@ def test_sample_is_bounded(spark):
     labels = spark.range(5000).withColumnRenamed("id", "doc_id")
     assert toxicity.sample(labels, "doc_id", 5000).count() == 5000
     assert 800 < toxicity.sample(labels, "doc_id", 1000).count() <= 1000
+
+
+def test_lexicon_has_no_cap_and_joined_words_count_by_their_pieces(rows):
+    data = []
+    for i in range(700):  # 700 words that only toxic texts hold, five times each
+        data += [(i * 10 + j, f"word{i:03d}{'x' * 50} plain", 1) for j in range(5)]
+    data += [(100_000 + i, "plain text", 0) for i in range(3500)]
+    lexicon = toxicity.learn_lexicon(rows("key long, text string, label int", *data))
+    assert all(f"word{i:03d}{'x' * 50}" in lexicon for i in range(700))
+    f = toxicity.Features({"idiot": 4.0})
+    chain = "-".join(["please"] * 30 + ["idiot"])
+    assert f.weight(chain) == 4.0 == f.weight("idiot") and f.weight("please-stop") == 0.0
+
+
+def test_of_contradicting_labels_the_toxic_one_holds(spark, tmp_path):
+    docs = [(i, ("you idiot " if i % 2 else "kind words ") * 5, "en", "s", 50) for i in range(300)]
+    labels = [(i, 1, i % 2) for i in range(300)] + [(i, 1, 0) for i in range(1, 300, 2)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").repartition(5).write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in queries.op7_toxicity(spark, str(tmp_path)).collect()}
+    assert len(got) == 300 and all(r.predicted == r.doc_id % 2 for r in got.values())
