@@ -197,7 +197,7 @@ class Groups:
 
 
 STRETCH_BITS = 16
-_HITS_HELD = 1 << 20
+_HITS_HELD = 1 << 19
 
 
 def frequent_cells(df: DataFrame, hits: Callable[[pa.RecordBatch], np.ndarray], width: int, least: int) -> np.ndarray:
