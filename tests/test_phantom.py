@@ -196,3 +196,25 @@ def test_queries_fit_all_replayed_days(spark, monkeypatch):
     fitted = catalog._phantom_model(star)
     assert fitted.select("label_date").distinct().count() > 1
     assert fitted.count() == catalog.QUERIES["training_set_replayed"](star).count() > catalog._phantom_rows(star).count()
+
+
+def test_replayed_days_are_never_broadcast(spark, tmp_path):
+    """Equal days fill a file of a few bytes, by whose size Spark would take all rows through the driver."""
+    days = spark.range(20_000).selectExpr(
+        "'1' AS werks", "concat('S', id % 10) AS unified_sku_id", "date_add(DATE'2024-01-01', CAST(id DIV 10 AS int)) AS label_date",
+        "CAST(1 AS decimal(13,3)) AS stock_qty", *[f"CAST({n} AS decimal(13,3)) AS sales_{n}d" for n in (7, 14, 28, 90)],
+        "DATE'2023-12-01' AS last_sale",
+    )
+    registry = spark.range(10).selectExpr("concat('S', id) AS unified_sku_id", "concat('M', id) AS sap_material_number", "5 AS shelf_life_days")
+    tables = []
+    for name, table in (("days", days), ("registry", registry)):
+        table.write.parquet(f"{tmp_path}/{name}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    days, registry = tables
+    labels = phantom.replayed_labels(days)
+    rows = phantom.training_set(labels, phantom.replayed_features(days, registry), registry.filter("unified_sku_id <> 'S9'"))
+    scores = labels.withColumn("is_phantom", F.col("unified_sku_id") == "S1")
+    judged = phantom.backtest_precision(scores, labels)
+    assert rows.count() == 18_000 and judged.first()["false_positives"] == 2_000
+    for frame in (rows, judged):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
