@@ -38,7 +38,7 @@ def _blocked(records: DataFrame, frequency: DataFrame, least: float) -> DataFram
     """Rows (id, n_grams, key): the rarest q-grams of each record."""
     ranked = (
         records.select("id", F.size("grams").alias("n_grams"), F.explode("grams").alias("key"))
-        .join(frequency, "key")
+        .join(frequency.hint("merge"), "key")
         .groupBy("id", "n_grams")
         .agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("ranked"))
     )
@@ -53,7 +53,8 @@ def candidate_pairs(
 ) -> DataFrame:
     """All pairs (left_id, right_id, similarity) whose q-gram sets have at least the least Jaccard similarity.
 
-    Both sides have ``id`` and ``grams``; records without grams are in no pair.
+    Both sides have ``id`` and ``grams``; records without grams are in no pair. The joins name their
+    method: texts that repeat fill small files, by whose size a broadcast would be picked.
     """
     counts = unknown.select(F.explode("grams").alias("key")).unionByName(known.select(F.explode("grams").alias("key")))
     frequency = counts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
@@ -63,9 +64,9 @@ def candidate_pairs(
     near = (F.col("left_n") >= F.col("right_n") * settings.least_similarity - 1e-9) & (
         F.col("right_n") >= F.col("left_n") * settings.least_similarity - 1e-9
     )
-    pairs = side(unknown, "left").join(side(known, "right"), "key").filter(near).select("left_id", "right_id").distinct()
+    pairs = side(unknown, "left").join(side(known, "right").hint("merge"), "key").filter(near).select("left_id", "right_id").distinct()
     sets = lambda df, name: df.select(F.col("id").alias(f"{name}_id"), F.col("grams").alias(f"{name}_grams"))
-    both = pairs.join(sets(unknown, "left"), "left_id").join(sets(known, "right"), "right_id")
+    both = pairs.join(sets(unknown, "left").hint("merge"), "left_id").join(sets(known, "right").hint("merge"), "right_id")
     shared = F.size(F.array_intersect("left_grams", "right_grams"))
     share = shared / (F.size("left_grams") + F.size("right_grams") - shared)
     return both.select("left_id", "right_id", share.alias("similarity")).filter(
@@ -77,7 +78,7 @@ def compared(pairs: DataFrame, records: DataFrame, settings: config.ResolutionSe
     """Adds the level of similarity and of agreement in every field."""
     steps = sum((F.when(F.col("similarity") >= s, 1).otherwise(0) for s in settings.similarity_steps), F.lit(0))
     fields = lambda name: records.select(F.col("id").alias(f"{name}_id"), *[F.col(f).alias(f"{name}_{f}") for f in FIELDS])
-    both = pairs.join(fields("left"), "left_id").join(fields("right"), "right_id")
+    both = pairs.join(fields("left").hint("merge"), "left_id").join(fields("right").hint("merge"), "right_id")
     levels = {
         f: F.when(F.col(f"left_{f}").isNull() | F.col(f"right_{f}").isNull(), MISSING)
         .when(F.col(f"left_{f}") == F.col(f"right_{f}"), 1).otherwise(0)
@@ -86,6 +87,47 @@ def compared(pairs: DataFrame, records: DataFrame, settings: config.ResolutionSe
     return both.select("left_id", "right_id", "similarity", steps.alias(SIMILARITY), *[c.alias(f) for f, c in levels.items()])
 
 
+def record_classes(records: DataFrame) -> DataFrame:
+    """Records that agree in q-grams and all fields as one: ``id`` is the smallest of theirs, ``n`` their number.
+
+    Copies of one record are alike in every comparison, so a class stands for them. Records without an
+    id or without grams are in no class. The classes are written once.
+    """
+    path = work_dir(records.sparkSession, "classes")
+    grouped = records.filter(F.col("id").isNotNull() & (F.size("grams") > 0)).groupBy("grams", *FIELDS).agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("n")
+    )
+    grouped.write.parquet(path)
+    return records.sparkSession.read.schema(grouped.schema).parquet(path)
+
+
+def members(records: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (id, class): every record with the id of its class."""
+    named = classes.select("grams", *FIELDS, F.col("id").alias("class"))
+    same = F.lit(True)
+    for c in ("grams", *FIELDS):
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return records.filter(F.col("id").isNotNull()).alias("a").join(named.alias("b").hint("merge"), same).select("a.id", "b.class")
+
+
+def expanded(pairs: DataFrame, left: DataFrame, right: DataFrame, cell: int = 10_000) -> DataFrame:
+    """Pairs of classes as pairs of their members.
+
+    Members of a class are dealt to cells of about ``cell`` records, so no task holds a whole large class.
+    """
+    cells = right.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("_cells"))
+    dealt = right.join(cells.hint("merge"), "class").select(
+        F.col("class").alias("right_id"), F.pmod(F.xxhash64("id"), F.col("_cells")).cast("int").alias("_cell"), F.col("id").alias("_right")
+    )
+    spread = pairs.join(cells.withColumnRenamed("class", "right_id").hint("merge"), "right_id").withColumn(
+        "_cell", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1))
+    )
+    named = left.select(F.col("class").alias("left_id"), F.col("id").alias("_left"))
+    both = spread.join(named.hint("merge"), "left_id").join(dealt.hint("merge"), ["right_id", "_cell"])
+    rest = [c for c in pairs.columns if c not in ("left_id", "right_id")]
+    return both.select(F.col("_left").alias("left_id"), F.col("_right").alias("right_id"), *rest)
+
+
 @dataclass(frozen=True)
 class MatchWeights:
     """Share of matches among pairs, and per field the chance of each level among matches and others."""
@@ -139,7 +181,9 @@ def sku_resolution(registry: DataFrame, settings: config.ResolutionSettings = SE
     Barcoded rows keep their id at confidence 1. Others take the id of their most probable partner if
     it is likely enough, with the probability (below 1) as confidence and ``resolved_to`` as its
     material; the rest keep their synthetic id at 0. Ties go to the most similar and then the first
-    partner. Only counts of comparison patterns, a few hundred at most, pass through the driver.
+    partner. Classes of equal records are compared, counted by the pairs of records they stand for, and
+    the first record of a class is its partner, so copies cost no pairs. Only counts of comparison
+    patterns, a few hundred at most, pass through the driver.
     """
     spark, path = registry.sparkSession, work_dir(registry.sparkSession, "resolution")
     records = registry.select(
@@ -148,11 +192,17 @@ def sku_resolution(registry: DataFrame, settings: config.ResolutionSettings = SE
     records.write.parquet(f"{path}/records")
     records = spark.read.schema(records.schema).parquet(f"{path}/records")
     unknown, known = records.filter("ean_barcode IS NULL"), records.filter("ean_barcode IS NOT NULL")
-    pairs = compared(candidate_pairs(unknown, known, settings), records, settings)
+    left, right = record_classes(unknown), record_classes(known)
+    pairs = compared(candidate_pairs(left, right, settings), left.unionByName(right), settings)
+    for name, side in (("left", left), ("right", right)):
+        size = side.select(F.col("id").alias(f"{name}_id"), F.col("n").alias(f"{name}_size"))
+        pairs = pairs.join(size.hint("merge"), f"{name}_id")
+    pairs = pairs.withColumn("_size", F.col("left_size") * F.col("right_size")).drop("left_size", "right_size")
     pairs.write.parquet(f"{path}/pairs")
     pairs = spark.read.schema(pairs.schema).parquet(f"{path}/pairs")
     names = [SIMILARITY, *FIELDS]
-    counts = {tuple(r[n] for n in names): r["count"] for r in pairs.groupBy(*names).count().collect()}
+    sizes = pairs.groupBy(*names).agg(F.sum("_size").alias("count"))
+    counts = {tuple(r[n] for n in names): r["count"] for r in sizes.collect()}
     levels = [len(settings.similarity_steps) + 1, *[3] * len(FIELDS)]
     weights = fit_weights(counts, levels)
     rows = [(*pattern, weights.probability(pattern)) for pattern in counts]
@@ -161,11 +211,13 @@ def sku_resolution(registry: DataFrame, settings: config.ResolutionSettings = SE
         pairs.join(F.broadcast(chances), names)  # one row per pattern
         .groupBy("left_id")
         .agg(F.min(F.struct((-F.col("_chance")).alias("c"), (-F.col("similarity")).alias("s"), "right_id")).alias("best"))
-        .select(F.col("left_id").alias("sap_material_number"), (-F.col("best.c")).alias("_chance"), F.col("best.right_id").alias("_to"))
+        .select(F.col("left_id").alias("class"), (-F.col("best.c")).alias("_chance"), F.col("best.right_id").alias("_to"))
     )
     best = best.filter(F.col("_chance") >= settings.least_probability)
     named = known.select(F.col("id").alias("_to"), F.col("unified_sku_id").alias("_sku"))
-    joined = registry.join(best.join(named, "_to"), "sap_material_number", "left")
+    of_class = best.join(named.hint("merge"), "_to")
+    found = members(unknown, left).join(of_class.hint("merge"), "class").drop("class").withColumnRenamed("id", "sap_material_number")
+    joined = registry.join(found.hint("merge"), "sap_material_number", "left")
     exact = F.col("ean_barcode").isNotNull()
     return joined.withColumns({
         "unified_sku_id": F.when(exact, F.col("unified_sku_id")).otherwise(F.coalesce("_sku", "unified_sku_id")),

@@ -100,3 +100,22 @@ def test_empty_registry_and_one_without_gaps(spark):
     registry = spark.createDataFrame(catalogue(5, 5, 0)[0], SCHEMA)
     assert resolve.sku_resolution(registry.limit(0)).count() == 0
     assert [r.match_confidence for r in resolve.sku_resolution(registry).collect()] == [1.0] * 5
+
+
+def test_copies_are_compared_as_one_class_and_lose_no_pair(spark, tmp_path):
+    rows, _ = catalogue(3, 12, 14)
+    copies = [(f"{r[0]}-{k}", f"{r[1]}-{k}", r[2] and f"{r[2]}-{k}", *r[3:]) for r in rows for k in range(5)]
+    spark.createDataFrame(copies, SCHEMA).write.parquet(f"{tmp_path}/registry")
+    frame = spark.read.parquet(f"{tmp_path}/registry")
+    records = frame.select(
+        F.col("sap_material_number").alias("id"), "ean_barcode", resolve.grams(F.col("material_description")).alias("grams"), *resolve.FIELDS
+    )
+    unknown, known = records.filter("ean_barcode IS NULL"), records.filter("ean_barcode IS NOT NULL")
+    plain = resolve.compared(resolve.candidate_pairs(unknown, known), records)
+    assert "Broadcast" not in plain._jdf.queryExecution().executedPlan().toString()
+    left, right = resolve.record_classes(unknown), resolve.record_classes(known)
+    classes = resolve.compared(resolve.candidate_pairs(left, right), left.unionByName(right))
+    pairs = resolve.expanded(classes, resolve.members(unknown, left), resolve.members(known, right), cell=2)
+    want = Counter(map(tuple, plain.collect()))
+    assert Counter(map(tuple, pairs.select(*plain.columns).collect())) == want and max(want.values()) == 1
+    assert 0 < classes.count() * 5 <= len(want)
