@@ -148,3 +148,25 @@ def test_daily_demand(spark):
     out = store.read("demand/m4_probabilistic")
     assert out.count() == categories.count() == store.read("demand/m1_forecast").count() + fresh.count()
     assert out.filter("p10 <= p50 and p50 <= p90 and p10 >= 0").count() == out.count()
+
+
+def test_line_items_are_not_shuffled_to_meet_their_site(spark, tmp_path):
+    """The estimate of a join of suppliers and nations is the product of both, however few rows it has."""
+    tables = {
+        "nation": spark.range(25).selectExpr("CAST(id AS int) AS n_nationkey", "concat('NATION_', id) AS n_name", "CAST(id % 5 AS int) AS n_regionkey"),
+        "supplier": spark.range(2000).selectExpr(
+            "id AS s_suppkey", "sha2(CAST(id AS string), 256) AS s_name", "CAST(id % 25 AS int) AS s_nationkey", "rand(1) AS s_acctbal"),
+        "lineitem": spark.range(50_000).selectExpr(
+            "id AS l_orderkey", "id AS l_partkey", "id % 7 AS l_suppkey", "1 AS l_linenumber", "1D AS l_quantity", "1D AS l_extendedprice",
+            "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", "TIMESTAMP_NTZ'1999-06-01 00:00:00' AS l_shipdate"),
+    }
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, "100kb")  # below the line items
+    try:
+        lines = Star(spark, str(tmp_path)).lines
+        assert "hashpartitioning" not in lines._jdf.queryExecution().executedPlan().toString()
+        assert lines.filter("l_suppkey % 5 = n_regionkey").count() == lines.count() == 50_000
+    finally:
+        spark.conf.unset(setting)
