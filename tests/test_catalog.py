@@ -170,3 +170,10 @@ def test_line_items_are_not_shuffled_to_meet_their_site(spark, tmp_path):
         assert lines.filter("l_suppkey % 5 = n_regionkey").count() == lines.count() == 50_000
     finally:
         spark.conf.unset(setting)
+
+
+@needs_data
+def test_replayed_labels_are_computed_once_for_both_sides(spark):
+    """The scores need fewer columns than the labels, so Spark would replay the movements twice."""
+    plan = catalog.queries()["backtest_precision"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "BUDAT" not in plan and "net" not in plan
