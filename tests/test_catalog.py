@@ -150,6 +150,24 @@ def test_daily_demand(spark):
     assert out.filter("p10 <= p50 and p50 <= p90 and p10 >= 0").count() == out.count()
 
 
+def test_daily_demand_has_a_series_for_every_sku(spark, tmp_path):
+    """Two parts of one type, and one of a type that is no replenished material, sold on one day."""
+    tables = {
+        "nation": spark.range(1).selectExpr("0 AS n_nationkey", "'N' AS n_name", "1 AS n_regionkey"),
+        "supplier": spark.range(1).selectExpr("7L AS s_suppkey", "'S' AS s_name", "0 AS s_nationkey", "1D AS s_acctbal"),
+        "part": spark.range(1, 4).selectExpr(
+            "id AS p_partkey", "'bolt' AS p_name", "'B' AS p_brand", "if(id = 3, 'PROMO', 'SMALL') AS p_type", "1 AS p_size", "1D AS p_retailprice"),
+        "lineitem": spark.range(1, 7).selectExpr(
+            "id AS l_orderkey", "1 + id % 3 AS l_partkey", "7L AS l_suppkey", "4 AS l_linenumber", "CAST(id AS double) AS l_quantity", "1D AS l_extendedprice",
+            "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", "TIMESTAMP_NTZ'1999-06-01 00:00:00' AS l_shipdate"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {tuple(r) for r in catalog.QUERIES["daily_demand"](Star(spark, str(tmp_path))).collect()}
+    day = date(1999, 6, 1)
+    assert got == {("NL01", f"87{part:011d}", day, y) for part, y in ((1, 9.0), (2, 5.0), (3, 7.0))}
+
+
 def test_line_items_are_not_shuffled_to_meet_their_site(spark, tmp_path):
     """The estimate of a join of suppliers and nations is the product of both, however few rows it has."""
     tables = {
