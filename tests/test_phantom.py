@@ -218,3 +218,26 @@ def test_replayed_days_are_never_broadcast(spark, tmp_path):
     assert rows.count() == 18_000 and judged.first()["false_positives"] == 2_000
     for frame in (rows, judged):
         assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stretches_are_the_same_days(spark, rows):
+    """Equal days are one row until they are scored or fitted on, and labels are looked up by stretch."""
+    rng, ref = random.Random(5), date(2024, 6, 30)
+    moves = rows(
+        "WERKS string, MATNR string, BWART string, MENGE decimal(13,3), MEINS string, BUDAT date",
+        *[("1", rng.choice("ABC"), rng.choice(["101", "601", "602"]), D(rng.randint(1, 9)), "EA", ref - timedelta(days=rng.randint(0, 150))) for _ in range(30)],
+    )
+    registry = rows("sap_material_number string, unified_sku_id string, shelf_life_days int", ("A", "SA", 5), ("B", "SB", 6))
+    known = registry.filter("unified_sku_id = 'SA'")
+
+    def training(days):
+        return phantom.training_set(phantom.replayed_labels(days), phantom.replayed_features(days, registry), known)
+
+    stretches = phantom.replayed_stretches(moves, ref, registry)
+    days = phantom.replayed_days(moves, ref, registry)
+    assert stretches.count() < days.count() / 3
+    got, want = phantom.each_day(training(stretches)), training(days)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())) and got.count() > 50
+    scores = days.select("werks", "unified_sku_id", "label_date", (F.dayofmonth("label_date") % 2 == 0).alias("is_phantom"))
+    told = [phantom.backtest_precision(scores, phantom.replayed_labels(x)).first() for x in (stretches, days)]
+    assert told[0] == told[1] and told[0].false_positives > 50
